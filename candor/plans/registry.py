@@ -503,18 +503,17 @@ def business_flagged_reviewers(i):
 
 
 @query("business_authenticity", ["businesses", "cases", "impact", "reviewers", "clusters"], """
-    WITH marks AS (
+    SELECT *, 20 * has_spike_case + 20 * has_flagged_users + 40 * has_cluster + 20 * has_rating_change AS authenticity_score,
+           CASE WHEN 20 * has_spike_case + 20 * has_flagged_users + 40 * has_cluster + 20 * has_rating_change >= 50
+                THEN 1 ELSE 0 END AS is_suspicious
+    FROM (
         SELECT b.business_id,
                CASE WHEN EXISTS (SELECT 1 FROM cases c WHERE c.business_id = b.business_id) THEN 1 ELSE 0 END AS has_spike_case,
                CASE WHEN (SELECT sum(suspicious_user_count) FROM cases c WHERE c.business_id = b.business_id) > 0 THEN 1 ELSE 0 END AS has_flagged_users,
                CASE WHEN EXISTS (SELECT 1 FROM reviewers r JOIN clusters k ON r.user_id = k.user_id
                                  WHERE r.business_id = b.business_id) THEN 1 ELSE 0 END AS has_cluster,
                CASE WHEN (SELECT max(abs(delta_after_before)) FROM impact i WHERE i.business_id = b.business_id) > 0.3 THEN 1 ELSE 0 END AS has_rating_change
-        FROM businesses b)
-    SELECT *, 20 * has_spike_case + 20 * has_flagged_users + 40 * has_cluster + 20 * has_rating_change AS authenticity_score,
-           CASE WHEN 20 * has_spike_case + 20 * has_flagged_users + 40 * has_cluster + 20 * has_rating_change >= 50
-                THEN 1 ELSE 0 END AS is_suspicious
-    FROM marks""")
+        FROM businesses b)""")
 def business_authenticity(i):
     return authenticity.business_authenticity(
         views.businesses(i.spark, i.sf), i.reviews(), i.cases(), i.rating(), i.flags(), i.clusters())
