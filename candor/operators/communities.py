@@ -105,24 +105,25 @@ def _propose(arcs: DataFrame, nodes: DataFrame, total: float, seed: int, turn: i
         F.first("k").alias("k"), F.first("inner").alias("inner"), F.first("c_old").alias("c_old"),
         F.max(F.when(home, F.col("score"))).alias("stay"),
         F.max(F.when(home, F.col("link"))).alias("own_link"),
+        F.max(F.when(home, F.col("tot"))).alias("own_tot"),
         F.min(F.struct((-F.col("score")).alias("loss"), F.col("c").alias("c"))).alias("top"),
     )
     gains = -F.col("top.loss") > F.col("stay") + 1e-12
     return chosen.select(
-        "v", "k", "inner", "c_old", "own_link", gains.alias("wishes"),
+        "v", "k", "inner", "c_old", "own_link", "own_tot", gains.alias("wishes"),
         F.when(gains & gate, F.col("top.c")).otherwise(F.col("c_old")).alias("c"),
     )
 
 
 def _judge(proposal: DataFrame, total: float) -> tuple[float, int]:
-    """Modularity of the labels the round started from, and how many vertices would gain."""
-    row = (
-        proposal.groupBy("c_old").agg(
-            F.sum("k").alias("tot"), F.sum(F.col("own_link") + F.col("inner")).alias("inside"),
-            F.count_if("wishes").alias("wishes"))
-        .agg(F.sum(F.col("inside") / total - F.pow(F.col("tot") / total, 2)).alias("q"),
-             F.sum("wishes").alias("wishes")).first()
-    )
+    """Modularity of the labels the round started from, and how many vertices would gain.
+
+    The squares of the community totals are summed vertex by vertex: k times the own total.
+    """
+    row = proposal.agg(
+        (F.sum(F.col("own_link") + F.col("inner")) / total
+         - F.sum(F.col("k") * F.col("own_tot")) / (total * total)).alias("q"),
+        F.count_if("wishes").alias("wishes")).first()
     return row["q"], row["wishes"]
 
 

@@ -76,6 +76,9 @@ def tree_samples(data: DataFrame, config: ForestConfig, n_rows: int) -> DataFram
         share = (wanted + 6 * trees * math.sqrt(psi)) / n_rows
         picked = (data.withColumn("_roll", roll(F.lit("drawn"))).filter(F.col("_roll") < share)
                   .withColumn("tree_id", F.floor(roll(F.lit("tree")) * trees).cast("int")))
+    # A fixed number of slices: growing is costly per row, adaptive execution
+    # would put these few rows into one task.
+    picked = picked.repartition(max(1, trees // 4), "tree_id")
     place = F.row_number().over(Window.partitionBy("tree_id").orderBy("_roll", "user_id"))
     return picked.withColumn("_place", place).filter(F.col("_place") <= psi).drop("_place", "_roll")
 

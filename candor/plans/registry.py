@@ -15,7 +15,7 @@ from candor.plans.chain import analyse
 from candor.plans.oracle import (EVENT_DOUBLES, FEATURE_DOUBLES, STAR_DOUBLES, SUSBIZ_DOUBLES, VOLUME_DOUBLES,
                                  oracle)
 from candor.schemas import FEATURE_COLUMNS, RAW_SCHEMAS, SIGNUP_COLUMN
-from candor.session import scratch_path
+from candor.session import scratch_path, stored
 from candor.sources import star_views as views
 from candor.sources import tables
 
@@ -29,18 +29,34 @@ BOMBER_RATE = 0.01
 
 
 class Inputs:
-    """The shared tables of one data set, built lazily from the views."""
+    """The shared tables of one data set, built from the views.
+
+    A table that several parts of one query read is written once per query.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf = spark, sf_dir
+        self._written: dict[str, DataFrame] = {}
+
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._written:
+            self._written[name] = stored(build(), name)
+        return self._written[name]
+
+    def businesses(self) -> DataFrame:
+        return views.businesses(self.spark, self.sf)
 
     def restaurants(self) -> DataFrame:
-        return prepare.restaurants_base(views.businesses(self.spark, self.sf))
+        return prepare.restaurants_base(self.businesses())
 
     def reviews(self) -> DataFrame:
         return prepare.restaurant_reviews(
             prepare.reviews_base(views.reviews(self.spark, self.sf)), self.restaurants())
 
+    def narrow_reviews(self) -> DataFrame:
+        """Restaurant reviews without text, for queries that read them more than once."""
+        return self.once("reviews", lambda: self.reviews().select("user_id", "business_id", "stars", "date"))
+
     def users(self) -> DataFrame:
         return prepare.users_base(views.raw_users(self.spark, self.sf))
 
@@ -62,17 +78,16 @@ class Inputs:
         ranked = global_row_number(self.scores(), [F.desc("anomaly_score"), F.col("user_id")], "anomaly_rank")
         return ranked.withColumn("anomaly_rank", F.col("anomaly_rank").cast("int"))
 
-    def spikes(self, **rule) -> DataFrame:
-        return spikes.review_spikes(self.reviews(), **(rule or views.TUNED_RULE))
-
     def events(self) -> DataFrame:
-        return spikes.spike_events(self.spikes())
+        """Spike events, from the narrow reviews."""
+        return spikes.spike_events(spikes.review_spikes(self.narrow_reviews(), **views.TUNED_RULE))
 
     def daily(self) -> DataFrame:
-        return spikes.daily_totals(self.reviews())
+        return spikes.daily_totals(self.narrow_reviews())
 
     def suspicious_businesses(self) -> DataFrame:
-        return impact.suspicious_businesses(self.events(), self.reviews(), self.flags())
+        return self.once("suspicious-businesses", lambda: impact.suspicious_businesses(
+            self.once("events", self.events), self.narrow_reviews(), self.flags()))
 
     def rating(self) -> DataFrame:
         return impact.rating_impact(self.suspicious_businesses(), self.daily())
@@ -81,7 +96,7 @@ class Inputs:
         return impact.volume_impact(self.suspicious_businesses(), self.daily())
 
     def names(self) -> DataFrame:
-        return tables.business_names(views.businesses(self.spark, self.sf))
+        return tables.business_names(self.businesses())
 
     def cases(self) -> DataFrame:
         return authenticity.with_names(
@@ -94,7 +109,7 @@ class Inputs:
         return graph.user_graph(self.edges())
 
     def model_scores(self) -> DataFrame:
-        return forest.user_anomaly_scores(self.features())
+        return forest.user_anomaly_scores(self.once("features", self.features))
 
 
 def query(name: str, uses: list[str] | None = None, sql: str | None = None, doubles: list[str] | None = None):
@@ -312,7 +327,7 @@ def rolling_baseline(i):
 
 @query("review_spikes", ["spikes"], "SELECT * FROM spikes", EVENT_DOUBLES)
 def review_spikes(i):
-    return i.spikes()
+    return spikes.review_spikes(i.reviews(), **views.TUNED_RULE)
 
 
 @query("review_spikes_default_rule", ["spikes_default"], "SELECT * FROM spikes_default", EVENT_DOUBLES)
@@ -322,7 +337,7 @@ def review_spikes_default_rule(i):
 
 @query("spike_events", ["events"], "SELECT * FROM events", EVENT_DOUBLES)
 def spike_events(i):
-    return i.events()
+    return spikes.spike_events(spikes.review_spikes(i.reviews(), **views.TUNED_RULE))
 
 
 # ---- activity and impact around spikes ----------------------------------------------------------
@@ -348,12 +363,13 @@ def join_suspicious_reviews(i):
 
 @query("suspicious_window_aggs", ["sus_aggs"], "SELECT * FROM sus_aggs", ["max_anomaly_score", "avg_anomaly_score"])
 def suspicious_window_aggs(i):
-    return impact.suspicious_window_aggs(i.reviews(), i.events(), i.flags())
+    return impact.suspicious_window_aggs(i.narrow_reviews(), i.events(), i.flags())
 
 
 @query("suspicious_businesses", ["susbiz"], "SELECT * FROM susbiz", SUSBIZ_DOUBLES)
 def suspicious_businesses(i):
-    return i.suspicious_businesses()
+    events = i.once("events", i.events)
+    return impact.suspicious_businesses(events, i.narrow_reviews(), i.flags())
 
 
 @query("suspicious_businesses_3_days", ["events", "in_window3", "flagged"], """
@@ -366,7 +382,8 @@ def suspicious_businesses(i):
                FROM in_window3 w LEFT JOIN flagged f ON w.user_id = f.user_id GROUP BY 1, 2)
       USING (business_id, spike_date)""", SUSBIZ_DOUBLES)
 def suspicious_businesses_3_days(i):
-    return impact.suspicious_businesses(i.events(), i.reviews(), i.flags(), 3)
+    events = i.once("events", i.events)
+    return impact.suspicious_businesses(events, i.narrow_reviews(), i.flags(), 3)
 
 
 @query("interval_join_before_during_after", ["before", "during3", "after"], """
@@ -400,7 +417,7 @@ def volume_impact(i):
     GROUP BY 1, 2""")
 def dedupe_events(i):
     tuned = i.events().select("business_id", "spike_date", F.lit("tuned").alias("rule"))
-    default = spikes.spike_events(spikes.review_spikes(i.reviews())).select(
+    default = spikes.spike_events(spikes.review_spikes(i.narrow_reviews())).select(
         "business_id", "spike_date", F.lit("default").alias("rule"))
     return impact.dedupe_events(tuned.unionByName(default))
 
@@ -516,7 +533,7 @@ def business_flagged_reviewers(i):
         FROM businesses b)""")
 def business_authenticity(i):
     return authenticity.business_authenticity(
-        views.businesses(i.spark, i.sf), i.reviews(), i.cases(), i.rating(), i.flags(), i.clusters())
+        i.businesses(), i.reviews(), i.cases(), i.rating(), i.flags(), i.clusters())
 
 
 @query("business_card", ["businesses", "cases", "reviewers", "clusters"], """
@@ -529,7 +546,7 @@ def business_authenticity(i):
                ON r.user_id = x.user_id GROUP BY 1) k ON b.business_id = k.business_id""")
 def business_card(i):
     return authenticity.business_card(
-        views.businesses(i.spark, i.sf), i.reviews(), i.cases(), i.flags(), i.clusters())
+        i.businesses(), i.reviews(), i.cases(), i.flags(), i.clusters())
 
 
 @query("max_delta_event", ["impact"], """
@@ -597,19 +614,19 @@ MEANINGFUL_PROFILE_COLUMNS = [*reports.VOLUME_PROFILE_COLUMNS, "suspicious_user_
 
 @query("profile_volume_impact", ["volume"], _profile_sql("volume", reports.VOLUME_PROFILE_COLUMNS), PROFILE_DOUBLES)
 def profile_volume_impact(i):
-    return reports.profile(i.volume(), reports.VOLUME_PROFILE_COLUMNS)
+    return reports.profile(i.once("volume", i.volume), reports.VOLUME_PROFILE_COLUMNS)
 
 
 @query("profile_meaningful_events", ["volume"], _profile_sql(
     "(SELECT * FROM volume WHERE meaningful_increase_flag = 1)", MEANINGFUL_PROFILE_COLUMNS), PROFILE_DOUBLES)
 def profile_meaningful_events(i):
-    return reports.profile(reports.meaningful_events(i.volume()), MEANINGFUL_PROFILE_COLUMNS)
+    return reports.profile(reports.meaningful_events(i.once("volume", i.volume)), MEANINGFUL_PROFILE_COLUMNS)
 
 
 @query("profile_anomalies", ["scores"], _profile_sql(
     "(SELECT * FROM scores WHERE is_anomaly = 1)", reports.ANOMALY_PROFILE_COLUMNS), PROFILE_DOUBLES)
 def profile_anomalies(i):
-    return reports.profile(i.scores().filter("is_anomaly = 1"), reports.ANOMALY_PROFILE_COLUMNS)
+    return reports.profile(i.once("scores", i.scores).filter("is_anomaly = 1"), reports.ANOMALY_PROFILE_COLUMNS)
 
 
 @query("key_uniqueness", ["rr"], """
@@ -664,7 +681,7 @@ def volume_label_counts(i):
            CAST(median(after_before_pct_change) AS DOUBLE) AS median_pct_change FROM volume""",
        ["mean_before", "mean_after", "median_pct_change"])
 def volume_kpis(i):
-    return reports.volume_kpis(i.volume())
+    return reports.volume_kpis(i.once("volume", i.volume))
 
 
 @query("delta_kpis", ["deltas", "cases"], """
@@ -673,7 +690,7 @@ def volume_kpis(i):
            (SELECT count(*) FROM cases c JOIN deltas d ON c.business_id = d.business_id AND c.spike_date = d.spike_date) AS joined_points
     FROM deltas""", ["median_delta", "mean_delta", "min_delta", "max_delta"])
 def delta_kpis(i):
-    return reports.delta_kpis(i.rating(), i.cases())
+    return reports.delta_kpis(i.once("rating", i.rating), i.cases())
 
 
 @query("overview_kpis", ["susbiz", "impact"], """
@@ -700,7 +717,7 @@ def _histogram_sql(bins: int, index: str) -> str:
        _histogram_sql(44, "floor((delta_after_before - lo2) / width2)") + " UNION ALL "
        + _histogram_sql(24, "ceil((delta_after_before - lo2) / width2) - 1"), ["bin_start", "bin_end"])
 def delta_histogram(i):
-    return reports.delta_histogram(i.rating())
+    return reports.delta_histogram(i.once("rating", i.rating))
 
 
 @query("delta_box", ["deltas"], """
@@ -713,7 +730,7 @@ def delta_histogram(i):
            count(*) FILTER (WHERE NOT inside) AS outliers FROM m""",
        ["q1", "median", "q3", "lower_whisker", "upper_whisker"])
 def delta_box(i):
-    return reports.delta_box(i.rating())
+    return reports.delta_box(i.once("rating", i.rating))
 
 
 @query("median_impute", ["features"], f"""
@@ -721,7 +738,7 @@ def delta_box(i):
     SELECT user_id, {", ".join(f"coalesce(f.{c}::DOUBLE, m.{c}, 0) AS {c}" for c in FEATURE_COLUMNS)}
     FROM features f CROSS JOIN m""", FEATURE_COLUMNS)
 def median_impute(i):
-    return forest.median_impute(i.features())
+    return forest.median_impute(i.once("features", i.features))
 
 
 # ---- ranked lists -------------------------------------------------------------------------------
@@ -850,7 +867,7 @@ def anomaly_bombers(i):
     SELECT * FROM ({_top_scores("avg_stars_given <= 1.5", 10, _columns(reports.RATING_COLUMNS) + ", 'low' AS side")})""",
        ["avg_stars_given", "reviews_per_day"])
 def anomaly_rating_extremes(i):
-    return reports.anomaly_rating_extremes(i.scores())
+    return reports.anomaly_rating_extremes(i.once("scores", i.scores))
 
 
 @query("anomaly_pct_extremes", ["scores"], _top_scores(
@@ -865,7 +882,7 @@ def anomaly_pct_extremes(i):
             ORDER BY anomaly_score DESC, user_id LIMIT 500)) AS zero_friend_top
     FROM scores WHERE is_anomaly = 1""")
 def zero_friend_counts(i):
-    return reports.zero_friend_counts(i.scores())
+    return reports.zero_friend_counts(i.once("scores", i.scores))
 
 
 @query("score_metrics", ["scores"], """
@@ -886,7 +903,7 @@ def friends_vs_score(i):
 
 @query("iforest_trees")
 def iforest_trees(i):
-    return forest.grow_trees(forest.model_input(i.features()), forest.SWEEP)
+    return forest.grow_trees(forest.model_input(i.once("features", i.features)), forest.SWEEP)
 
 
 @query("user_anomaly_scores")
@@ -906,16 +923,16 @@ def model_top_users(i):
 
 @query("model_zero_friend_counts")
 def model_zero_friend_counts(i):
-    return reports.zero_friend_counts(i.model_scores())
+    return reports.zero_friend_counts(i.once("model-scores", i.model_scores))
 
 
 @query("anomaly_config_summary")
 def anomaly_config_summary(i):
-    return forest.anomaly_config_summary(forest.config_scores(i.features()))
+    return forest.anomaly_config_summary(forest.config_scores(i.once("features", i.features)))
 
 
 @query("full_chain_authenticity")
 def full_chain_authenticity(i):
     """Model flags, spikes, graph, communities and impact up to the business score."""
     return analyse(views.reviews(i.spark, i.sf), views.raw_users(i.spark, i.sf),
-                   views.businesses(i.spark, i.sf), as_of=views.AS_OF, rule=views.TUNED_RULE)["business_authenticity"]
+                   i.businesses(), as_of=views.AS_OF, rule=views.TUNED_RULE)["business_authenticity"]
