@@ -3,8 +3,9 @@
 The method is that of Blondel et al. (2008): vertices move to the neighbouring
 community with the largest gain, then communities become the vertices of a
 smaller graph, and so on until nothing moves. Here all vertices look at the
-same time. A hash gate admits half of them per round, so that two vertices do
-not swap for ever, and a round that lowers modularity is taken back.
+same time. A hash gate, drawn anew every round, admits three of four, so that
+two vertices do not swap for ever, and a round that lowers modularity is taken
+back.
 """
 
 from __future__ import annotations
@@ -18,12 +19,13 @@ from candor.session import scratch_path, stored
 # Smallest cluster reported.
 MIN_CLUSTER_SIZE = 3
 
-_TOLERANCE = 1e-7
-_PATIENCE = 4
+# A level ends when nothing gains, or after this many rounds in a row that
+# raised modularity by less than the tolerance.
+_PATIENCE = 3
 
 
 def louvain_communities(edges: DataFrame, weight: str | None = None, seed: int = 42,
-                        max_rounds: int = 60, max_levels: int = 12) -> DataFrame:
+                        tolerance: float = 1e-4, max_rounds: int = 60, max_levels: int = 12) -> DataFrame:
     """``vertex, community`` for an undirected edge table ``user_a, user_b [, weight]``.
 
     Repeated edges count once unless a weight column is named. The state of
@@ -47,7 +49,7 @@ def louvain_communities(edges: DataFrame, weight: str | None = None, seed: int =
         return members
 
     for level in range(max_levels):
-        labels, moved = _settle(arcs, nodes, total, seed + level, max_rounds)
+        labels, moved = _settle(arcs, nodes, total, seed + level, tolerance, max_rounds)
         if not moved:
             break
         members = stored(
@@ -57,7 +59,7 @@ def louvain_communities(edges: DataFrame, weight: str | None = None, seed: int =
     return members
 
 
-def _settle(arcs: DataFrame, nodes: DataFrame, total: float, seed: int, max_rounds: int):
+def _settle(arcs: DataFrame, nodes: DataFrame, total: float, seed: int, tolerance: float, max_rounds: int):
     """Move vertices of one level until nothing gains. Returns (v, k, inner, c) and whether any moved."""
     spark = arcs.sparkSession
     slots = [scratch_path(spark, f"labels{i}") for i in range(3)]
@@ -73,7 +75,7 @@ def _settle(arcs: DataFrame, nodes: DataFrame, total: float, seed: int, max_roun
             if stale >= _PATIENCE:
                 break
             continue
-        stale = 0 if q > best_q + _TOLERANCE else stale + 1
+        stale = 0 if q > best_q + tolerance else stale + 1
         best, best_slot, best_q = proposal.select("v", "k", "inner", F.col("c_old").alias("c")), slot, max(q, best_q)
         if not wishes or stale >= _PATIENCE:
             break
@@ -99,8 +101,7 @@ def _propose(arcs: DataFrame, nodes: DataFrame, total: float, seed: int, turn: i
     home = F.col("c") == F.col("c_old")
     others = F.col("tot") - F.when(home, F.col("k")).otherwise(0.0)
     score = F.col("link") - F.col("k") * others / F.lit(total)
-    # Alternating halves, drawn anew every second round.
-    gate = F.pmod(F.xxhash64("v", F.lit(seed), F.lit(turn // 2)) + F.lit(turn), F.lit(2)) == 0
+    gate = F.pmod(F.xxhash64("v", F.lit(seed), F.lit(turn)), F.lit(4)) != 0
     chosen = options.withColumn("score", score).groupBy("v").agg(
         F.first("k").alias("k"), F.first("inner").alias("inner"), F.first("c_old").alias("c_old"),
         F.max(F.when(home, F.col("score"))).alias("stay"),
