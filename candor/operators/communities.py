@@ -10,7 +10,7 @@ back.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from candor.functions.ranking import global_row_number
@@ -21,7 +21,7 @@ MIN_CLUSTER_SIZE = 3
 
 # A level ends when nothing gains, or after this many rounds in a row that
 # raised modularity by less than the tolerance.
-_PATIENCE = 3
+_PATIENCE = 2
 
 
 def louvain_communities(edges: DataFrame, weight: str | None = None, seed: int = 42,
@@ -67,8 +67,7 @@ def _settle(arcs: DataFrame, nodes: DataFrame, total: float, seed: int, toleranc
     best, best_slot, best_q, stale = None, None, float("-inf"), 0
     for turn in range(max_rounds):
         slot = next(s for s in slots if s not in (current_slot, best_slot))
-        proposal = stored(_propose(arcs, current, total, seed, turn), "labels", slot)
-        q, wishes = _judge(proposal, total)
+        proposal, q, wishes = _judged(_propose(arcs, current, total, seed, turn), total, slot)
         if q < best_q - 1e-12:
             # The last moves did harm: go back and try with another gate.
             current, current_slot, stale = best, best_slot, stale + 1
@@ -83,49 +82,48 @@ def _settle(arcs: DataFrame, nodes: DataFrame, total: float, seed: int, toleranc
     return best, not best.filter("c <> v").isEmpty()
 
 
+# A vertex's own community always competes, also without a neighbour in it. Ties
+# go to the smaller label. Links are summed per (vertex, community) before they
+# are shuffled, so a vertex with very many neighbours does not load one task.
+_ROUND = """
+    WITH links AS (
+        SELECT v, c, sum(w) AS link
+        FROM (SELECT a.v, n.c, a.w FROM {arcs} a JOIN {nodes} n ON a.u = n.v
+              UNION ALL SELECT v, c, 0D FROM {nodes})
+        GROUP BY v, c),
+    totals AS (SELECT c, sum(k) AS tot FROM {nodes} GROUP BY c),
+    options AS (
+        SELECT n.v, n.k, n.inner, n.c AS c_old, l.c, l.link, t.tot, l.c = n.c AS home,
+               l.link - n.k * (t.tot - if(l.c = n.c, n.k, 0D)) / :total AS score
+        FROM links l JOIN totals t ON l.c = t.c JOIN {nodes} n ON l.v = n.v),
+    chosen AS (
+        SELECT v, first(k) AS k, first(inner) AS inner, first(c_old) AS c_old,
+               max(if(home, score, NULL)) AS stay, max(if(home, link, NULL)) AS own_link,
+               max(if(home, tot, NULL)) AS own_tot, min(struct(-score AS loss, c AS c)) AS top
+        FROM options GROUP BY v)
+    SELECT v, k, inner, c_old, own_link, own_tot, -top.loss > stay + 1e-12D AS wishes,
+           if(-top.loss > stay + 1e-12D AND pmod(xxhash64(v, :seed, :turn), 4) <> 0, top.c, c_old) AS c
+    FROM chosen"""
+
+
 def _propose(arcs: DataFrame, nodes: DataFrame, total: float, seed: int, turn: int) -> DataFrame:
-    """Best community per vertex given the labels of the round's start.
+    """Best community per vertex given the labels of the round's start."""
+    return arcs.sparkSession.sql(_ROUND, {"total": total, "seed": seed, "turn": turn}, arcs=arcs, nodes=nodes)
 
-    A vertex's own community always competes, also without a neighbour in it.
-    Ties go to the smaller label. Links are summed per (vertex, community)
-    map-side, so a vertex with very many neighbours does not load one task.
-    """
-    reach = arcs.join(nodes.select(F.col("v").alias("u"), "c"), "u").select("v", "c", "w")
-    links = (reach.unionByName(nodes.select("v", "c", F.lit(0.0).alias("w")))
-             .groupBy("v", "c").agg(F.sum("w").alias("link")))
-    weight_of = nodes.groupBy("c").agg(F.sum("k").alias("tot"))
-    options = (
-        links.join(weight_of, "c")
-        .join(nodes.select("v", "k", "inner", F.col("c").alias("c_old")), "v")
-    )
-    home = F.col("c") == F.col("c_old")
-    others = F.col("tot") - F.when(home, F.col("k")).otherwise(0.0)
-    score = F.col("link") - F.col("k") * others / F.lit(total)
-    gate = F.pmod(F.xxhash64("v", F.lit(seed), F.lit(turn)), F.lit(4)) != 0
-    chosen = options.withColumn("score", score).groupBy("v").agg(
-        F.first("k").alias("k"), F.first("inner").alias("inner"), F.first("c_old").alias("c_old"),
-        F.max(F.when(home, F.col("score"))).alias("stay"),
-        F.max(F.when(home, F.col("link"))).alias("own_link"),
-        F.max(F.when(home, F.col("tot"))).alias("own_tot"),
-        F.min(F.struct((-F.col("score")).alias("loss"), F.col("c").alias("c"))).alias("top"),
-    )
-    gains = -F.col("top.loss") > F.col("stay") + 1e-12
-    return chosen.select(
-        "v", "k", "inner", "c_old", "own_link", "own_tot", gains.alias("wishes"),
-        F.when(gains & gate, F.col("top.c")).otherwise(F.col("c_old")).alias("c"),
-    )
-
-
-def _judge(proposal: DataFrame, total: float) -> tuple[float, int]:
-    """Modularity of the labels the round started from, and how many vertices would gain.
-
-    The squares of the community totals are summed vertex by vertex: k times the own total.
+
+def _judged(proposal: DataFrame, total: float, path: str) -> tuple[DataFrame, float, int]:
+    """Write a round. Also the modularity of the labels it started from, and how many vertices would gain.
+
+    Both are totals over the written rows, observed while they are written: the
+    squares of the community totals are k times the own total, vertex by vertex.
     """
-    row = proposal.agg(
+    seen = Observation()
+    written = stored(proposal.observe(
+        seen,
         (F.sum(F.col("own_link") + F.col("inner")) / total
          - F.sum(F.col("k") * F.col("own_tot")) / (total * total)).alias("q"),
-        F.count_if("wishes").alias("wishes")).first()
-    return row["q"], row["wishes"]
+        F.count_if("wishes").alias("wishes")), "labels", path)
+    return written, seen.get["q"], seen.get["wishes"]
 
 
 def _contract(arcs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candor.functions.scalars import epoch_seconds
+from candor.session import stored
 
 # Co-review gap in days, strict.
 CO_REVIEW_DAYS = 7
@@ -22,6 +23,8 @@ def co_review_pairs(reviews: DataFrame, gap_days: int = CO_REVIEW_DAYS, cell_row
     the square and the later ones to columns, each copied along its line. A
     cell holds about ``cell_rows`` reviews of either side, whatever the size of
     the business, and every pair falls into exactly one cell.
+
+    ``reviews`` is read three times, so pass a stored table.
     """
     span = gap_days * SECONDS_PER_DAY
     base = reviews.select("review_id", "user_id", "business_id", epoch_seconds("date").alias("at"))
@@ -30,11 +33,15 @@ def co_review_pairs(reviews: DataFrame, gap_days: int = CO_REVIEW_DAYS, cell_row
     late = base.withColumn("span", own)
 
     sizes = early.groupBy("business_id", "span").agg(F.count(F.lit(1)).alias("_rows"))
-    # Only spans over the limit are listed: at most 2 N / cell_rows rows.
-    crowded = sizes.filter(F.col("_rows") > cell_rows).select(
-        "business_id", "span", F.ceil(F.col("_rows") / cell_rows).cast("int").alias("_side"))
+    # Only spans over the limit are listed: at most 2 N / cell_rows rows. As a
+    # stored table it has a true size, by which Spark decides on broadcasting it.
+    crowded = stored(sizes.filter(F.col("_rows") > cell_rows).select(
+        "business_id", "span", F.ceil(F.col("_rows") / cell_rows).cast("int").alias("_side")), "crowded")
+    any_crowded = not crowded.isEmpty()
 
     def celled(side: DataFrame, mine: str, other: str) -> DataFrame:
+        if not any_crowded:
+            return side.withColumns({mine: F.lit(0), other: F.lit(0)})
         n = F.coalesce(F.col("_side"), F.lit(1))
         return (
             side.join(crowded, ["business_id", "span"], "left")
@@ -79,7 +86,8 @@ def flagged_reviews(reviews: DataFrame, scores: DataFrame) -> DataFrame:
 def user_similarity_edges(reviews: DataFrame, scores: DataFrame, gap_days: int = CO_REVIEW_DAYS,
                           cell_rows: int = 4_000) -> DataFrame:
     """One row per co-review of flagged users; a user with two close reviews gives a self-edge."""
-    pairs = co_review_pairs(flagged_reviews(reviews, scores), gap_days, cell_rows)
+    flagged = stored(flagged_reviews(reviews, scores), "flagged-reviews")
+    pairs = co_review_pairs(flagged, gap_days, cell_rows)
     return pairs.select("user_id_a", "user_id_b", "business_id", "time_diff_days")
 
 

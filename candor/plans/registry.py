@@ -71,7 +71,7 @@ class Inputs:
 
     def scores(self) -> DataFrame:
         """Complete users with the stand-in scores and flags."""
-        complete = prepare.drop_incomplete_users(self.features())
+        complete = prepare.drop_incomplete_users(self.once("features", self.features))
         return complete.join(self.flags(), "user_id")
 
     def ranked_scores(self) -> DataFrame:
@@ -162,7 +162,7 @@ def sink_parquet_roundtrip(i):
 def sink_partitioned_roundtrip(i):
     path = scratch_path(i.spark, "by-year")
     out = prepare.reviews_base(views.reviews(i.spark, i.sf))
-    tables.write_table(out, path, "review_year", files_per_value=2)
+    tables.write_table(out, path, "review_year")
     return tables.read_table(i.spark, path, out.columns)
 
 
@@ -235,13 +235,13 @@ def fill_user_features(i):
 @query("drop_incomplete_users", ["features"], """
     SELECT * FROM features WHERE account_age_days IS NOT NULL AND num_friends IS NOT NULL""", FEATURE_DOUBLES)
 def drop_incomplete_users(i):
-    return prepare.drop_incomplete_users(i.features())
+    return prepare.drop_incomplete_users(i.once("features", i.features))
 
 
 @query("incomplete_users", ["features"], """
     SELECT * FROM features WHERE account_age_days IS NULL OR num_friends IS NULL""", FEATURE_DOUBLES)
 def incomplete_users(i):
-    return reports.incomplete_users(i.features())
+    return reports.incomplete_users(i.once("features", i.features))
 
 
 @query("coerce_numeric", ["rr"], """
@@ -434,7 +434,8 @@ def spike_timeline(i):
 
 @query("co_review_pairs", ["pairs"], "SELECT * FROM pairs")
 def co_review_pairs(i):
-    return graph.co_review_pairs(graph.flagged_reviews(i.reviews(), i.flags()))
+    flagged = i.once("flagged", lambda: graph.flagged_reviews(i.reviews(), i.flags()))
+    return graph.co_review_pairs(flagged)
 
 
 @query("user_similarity_edges", ["pairs"], "SELECT user_id_a, user_id_b, business_id, time_diff_days FROM pairs")

@@ -14,6 +14,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Without a Python stack trace per column expression, plans build faster.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

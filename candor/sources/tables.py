@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,19 +40,17 @@ def business_names(businesses: DataFrame) -> DataFrame:
     )
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = None, files_per_value: int = 1) -> None:
+def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Overwrite a Parquet table.
 
-    Partitioned output is first spread by the partition value and
-    ``files_per_value`` slices of the row, so that one large year is written by
-    several tasks and the file count stays bounded.
+    Partitioned output is rebalanced by the partition value first: adaptive
+    execution then gives a small value one task and one file, and splits a
+    value that holds a large share of the rows into tasks of the advisory size.
     """
     if partition_by is None:
         df.write.mode("overwrite").parquet(path)
         return
-    slice_of_row = F.pmod(F.xxhash64(*[c for c in df.columns if c != partition_by]), F.lit(files_per_value))
-    (df.repartition(partition_by, slice_of_row)
-       .write.mode("overwrite").partitionBy(partition_by).parquet(path))
+    df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -64,20 +63,21 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     try:
-        spark.read.text(path).schema
+        spark.read.text(path)
         return True
-    except Exception as err:
-        if "PATH_NOT_FOUND" in str(err):
+    except AnalysisException as err:
+        if err.getCondition() == "PATH_NOT_FOUND":
             return False
         raise
 
 
 def convert_raw(spark: SparkSession, raw_dir: str, out_dir: str, prefix: str = "",
-                declared: bool = True, files_per_year: int = 1) -> list[str]:
+                declared: bool = True) -> list[str]:
     """Raw JSON datasets to Parquet; an absent file is skipped. Reviews are laid out by year.
 
-    ``declared`` keeps the declared columns only; otherwise the schema is
-    inferred and every field is kept. Returns the names converted.
+    ``declared`` keeps the declared columns only and drops lines that do not
+    parse; otherwise the schema is inferred and every field is kept. Returns
+    the names converted.
     """
     done = []
     for name in RAW_DATASETS:
@@ -88,7 +88,7 @@ def convert_raw(spark: SparkSession, raw_dir: str, out_dir: str, prefix: str = "
         if declared:
             df = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
         if name == "review" and "date" in df.columns:
-            write_table(add_review_year(df), f"{out_dir}/{name}", "review_year", files_per_year)
+            write_table(add_review_year(df), f"{out_dir}/{name}", "review_year")
         else:
             write_table(df, f"{out_dir}/{name}")
         done.append(name)
