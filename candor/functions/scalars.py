@@ -48,11 +48,17 @@ def int_flag(condition: Column) -> Column:
     return F.when(condition, F.lit(1)).otherwise(F.lit(0))
 
 
-def epoch_seconds(c) -> Column:
-    """Seconds since 1970 of a wall-clock timestamp, read as UTC whatever the session zone is."""
+def wall_micros(c) -> Column:
+    """Microseconds since 1970 as the clock on the wall shows them.
+
+    Built from the fields of the timestamp, so no time zone or change of clocks
+    enters a difference of two of them.
+    """
     c = F.col(c) if isinstance(c, str) else c
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                            c.cast("timestamp_ntz"))
+    t = c.cast("timestamp_ntz")
+    days = F.date_diff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("long")
+    minutes = (days * 24 + F.hour(t)) * 60 + F.minute(t)
+    return minutes * 60_000_000 + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("long")
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candor.functions.scalars import epoch_seconds
+from candor.functions.scalars import wall_micros
 from candor.session import stored
 
 # Co-review gap in days, strict.
 CO_REVIEW_DAYS = 7
-SECONDS_PER_DAY = 86_400
+MICROS_PER_DAY = 86_400_000_000
 
 
 def co_review_pairs(reviews: DataFrame, gap_days: int = CO_REVIEW_DAYS, cell_rows: int = 4_000) -> DataFrame:
@@ -26,8 +26,8 @@ def co_review_pairs(reviews: DataFrame, gap_days: int = CO_REVIEW_DAYS, cell_row
 
     ``reviews`` is read three times, so pass a stored table.
     """
-    span = gap_days * SECONDS_PER_DAY
-    base = reviews.select("review_id", "user_id", "business_id", epoch_seconds("date").alias("at"))
+    span = gap_days * MICROS_PER_DAY
+    base = reviews.select("review_id", "user_id", "business_id", wall_micros("date").alias("at"))
     own = F.floor(F.col("at") / span)
     early = base.withColumn("span", F.explode(F.array(own, own + 1)))
     late = base.withColumn("span", own)
@@ -72,7 +72,7 @@ def co_review_pairs(reviews: DataFrame, gap_days: int = CO_REVIEW_DAYS, cell_row
             first("user_1", "user_2").alias("user_id_a"),
             first("user_2", "user_1").alias("user_id_b"),
             "business_id",
-            F.floor(gap / SECONDS_PER_DAY).cast("int").alias("time_diff_days"),
+            F.floor(gap / MICROS_PER_DAY).cast("int").alias("time_diff_days"),
         )
     )
 

@@ -43,6 +43,21 @@ def test_gap_of_seven_days_is_out(spark):
     assert got == {("a", "b"): 6, ("b", "c"): 0}
 
 
+def test_gap_ignores_changes_of_clocks(spark):
+    """One microsecond under seven days across a spring-forward night, whatever the session zone."""
+    t = dt.datetime(2021, 3, 10, 12)
+    rows = [("a", 1, "b", t), ("b", 2, "b", t + dt.timedelta(days=7) - dt.timedelta(microseconds=1)),
+            ("c", 3, "b", t + dt.timedelta(days=7))]
+    df = spark.createDataFrame(rows, "review_id string, user_id long, business_id string, date timestamp_ntz")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = {(r["review_id_a"], r["review_id_b"]) for r in graph.co_review_pairs(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == {("a", "b"), ("b", "c")}
+
+
 def test_pairs_do_not_depend_on_cell_size(spark):
     i = Inputs(spark, SF)
     flagged = stored(graph.flagged_reviews(i.reviews(), i.flags()), "flagged")
