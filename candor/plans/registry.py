@@ -14,7 +14,7 @@ from candor.operators import (authenticity, communities, features, forest, graph
 from candor.plans.chain import analyse
 from candor.plans.oracle import (EVENT_DOUBLES, FEATURE_DOUBLES, STAR_DOUBLES, SUSBIZ_DOUBLES, VOLUME_DOUBLES,
                                  oracle)
-from candor.schemas import FEATURE_COLUMNS, RAW_SCHEMAS, SIGNUP_COLUMN
+from candor.schemas import BUSINESS_INFO_COLUMNS, FEATURE_COLUMNS, RAW_SCHEMAS, SIGNUP_COLUMN
 from candor.session import scratch_path, stored
 from candor.sources import star_views as views
 from candor.sources import tables
@@ -575,12 +575,20 @@ def users_vs_delta(i):
     return authenticity.users_vs_delta(i.cases(), i.rating())
 
 
-@query("enrich_business", ["susbiz", "restaurants"], """
-    SELECT s.*, CASE WHEN r.business_id IS NOT NULL THEN struct_pack(name := r.name, city := r.city, state := r.state,
-           categories := r.categories) END AS business
+def _opened(df: DataFrame) -> DataFrame:
+    """The business record as plain columns, for comparing engines."""
+    return df.select(*[c for c in df.columns if c != "business"],
+                     *[F.col(f"business.{c}").alias(f"business_{c}") for c in BUSINESS_INFO_COLUMNS])
+
+
+OPENED_SQL = ", ".join(f"r.{c} AS business_{c}" for c in BUSINESS_INFO_COLUMNS)
+
+
+@query("enrich_business", ["susbiz", "restaurants"], f"""
+    SELECT s.*, {OPENED_SQL}
     FROM susbiz s LEFT JOIN restaurants r ON s.business_id = r.business_id""", SUSBIZ_DOUBLES)
 def enrich_business(i):
-    return authenticity.enrich_business(i.suspicious_businesses(), i.restaurants())
+    return _opened(authenticity.enrich_business(i.suspicious_businesses(), i.restaurants()))
 
 
 @query("business_impact", ["volume", "impact"], """
@@ -757,16 +765,15 @@ def top_volume_events(i):
     return reports.top_volume_events(i.volume())
 
 
-@query("top_suspicious_businesses", ["susbiz", "restaurants"], """
+@query("top_suspicious_businesses", ["susbiz", "restaurants"], f"""
     WITH ranked AS (SELECT *, row_number() OVER (ORDER BY round(z_score, 6) DESC NULLS LAST,
                     suspicious_user_count DESC NULLS LAST, business_id, spike_date) AS place FROM susbiz)
-    SELECT s.* EXCLUDE (place), struct_pack(name := r.name, city := r.city, state := r.state,
-           categories := r.categories) AS business
+    SELECT s.* EXCLUDE (place), {OPENED_SQL}
     FROM ranked s LEFT JOIN restaurants r ON s.business_id = r.business_id WHERE place <= 50""", SUSBIZ_DOUBLES)
 def top_suspicious_businesses(i):
     # Ordered by the rounded score: the last bits of a deviation differ between engines.
     top = reports.top_suspicious_businesses(rounded(i.suspicious_businesses()))
-    return authenticity.enrich_business(top, i.restaurants())
+    return _opened(authenticity.enrich_business(top, i.restaurants()))
 
 
 @query("volume_increases", ["volume"], _top_volume(
