@@ -21,7 +21,8 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rank") ->
     """Add ``name`` = 1..N in the given total order.
 
     The sorted slices are written once, because range bounds are sampled and
-    must not be drawn a second time. The offset table has one row per sorted
+    must not be drawn a second time. Sampling also reads the input twice, so
+    pass a stored table if it is costly to compute. The offset table has one row per sorted
     slice, hence never more rows than shuffle partitions, and is broadcast.
     """
     place = "_place"

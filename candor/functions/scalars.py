@@ -61,6 +61,13 @@ def wall_micros(c) -> Column:
     return minutes * 60_000_000 + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("long")
 
 
+def two_digits(c) -> Column:
+    """Text with two decimals; halves go to the even digit and a negative zero keeps its sign."""
+    c = F.col(c) if isinstance(c, str) else c
+    near = F.bround(c, 2)
+    return F.when((c < 0) & (near == 0), "-0.00").otherwise(F.format_string("%.2f", near))
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column; for comparing results across engines."""
     return df.select(*[

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candor.functions.scalars import int_flag, lenient_number
+from candor.functions.scalars import int_flag, lenient_number, two_digits
 from candor.operators.prepare import rating_delta
 from candor.schemas import BUSINESS_INFO_COLUMNS, EVENT_KEY, UNKNOWN_NAME
 
@@ -52,7 +52,7 @@ def top_cases(cases: DataFrame, impact: DataFrame, limit: int = 25) -> DataFrame
 
 def case_labels(cases: DataFrame, impact: DataFrame) -> DataFrame:
     """Pick-list text of every case with known impact."""
-    delta = F.coalesce(F.format_string("%.2f", "delta_after_before"), F.lit("nan"))
+    delta = F.when(F.col("delta_after_before").isNull(), "nan").otherwise(two_digits("delta_after_before"))
     parts = [F.trim("name"), F.col("business_id").cast("string"), F.col("spike_date").cast("string"),
              F.concat(F.lit("susp_users="), F.col("suspicious_user_count").cast("string")),
              F.concat(F.lit("Δ="), delta)]

@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candor.functions.quantiles import exact_quantiles
@@ -34,6 +34,8 @@ class ForestConfig:
 
 SWEEP = [ForestConfig(), ForestConfig("subsampled_features", max_features=0.7)]
 
+ROWS_PER_TASK = 50_000
+
 NODE_SCHEMA = ("config string, tree_id int, node_id int, feature int, threshold double, "
                "left int, right int, size int, depth int")
 
@@ -78,7 +80,8 @@ def tree_samples(data: DataFrame, config: ForestConfig, n_rows: int) -> DataFram
                   .withColumn("tree_id", F.floor(roll(F.lit("tree")) * trees).cast("int")))
     # A fixed number of slices: growing is costly per row, adaptive execution
     # would put these few rows into one task.
-    picked = picked.repartition(max(1, trees // 4), "tree_id")
+    slices = min(trees, 2 * data.sparkSession.sparkContext.defaultParallelism)
+    picked = picked.repartition(slices, "tree_id")
     place = F.row_number().over(Window.partitionBy("tree_id").orderBy("_roll", "user_id"))
     return picked.withColumn("_place", place).filter(F.col("_place") <= psi).drop("_place", "_roll")
 
@@ -86,6 +89,8 @@ def tree_samples(data: DataFrame, config: ForestConfig, n_rows: int) -> DataFram
 def grow_trees(data: DataFrame, configs: list[ForestConfig]) -> DataFrame:
     """Node table of all trees of all configurations."""
     n_rows = data.count()
+    if not n_rows:
+        raise ValueError("there are no complete users to grow trees from")
     grown = [_grow(data, c, n_rows) for c in configs]
     nodes = grown[0]
     for more in grown[1:]:
@@ -115,7 +120,7 @@ def _grow(data: DataFrame, config: ForestConfig, n_rows: int) -> DataFrame:
             if depth >= max_depth or len(part) <= 1 or not len(varying):
                 nodes.append((node, -1, 0.0, -1, -1, len(part), depth))
                 continue
-            feature = int(rng.choice(varying))
+            feature = int(varying[rng.integers(len(varying))])
             values = part[:, feature]
             cut = rng.uniform(values.min(), values.max())
             goes_left = values <= cut
@@ -211,19 +216,26 @@ def user_anomaly_scores(features: DataFrame, config: ForestConfig = ForestConfig
     return _score_all(features, [config])[0]
 
 
+def _slices(spark: SparkSession, n_rows: int) -> int:
+    """Tasks for scoring: its cost goes with rows x trees, so bytes are no measure of it."""
+    return max(math.ceil(n_rows / ROWS_PER_TASK),
+               min(spark.sparkContext.defaultParallelism, math.ceil(n_rows / 1000)), 1)
+
+
 def _score_all(features: DataFrame, configs: list[ForestConfig]) -> list[DataFrame]:
     original = drop_incomplete_users(features).select("user_id", *FEATURE_COLUMNS)
-    data = stored(model_input(original), "model-input")
+    prepared = model_input(original)
+    slices = _slices(features.sparkSession, prepared.count())
+    data = stored(prepared.repartition(slices, "user_id"), "model-input")
     nodes = stored(grow_trees(data, configs), "trees")
-    kept = None
     out = []
     for config in configs:
-        scored = isolation_scores(data, nodes, config).select("user_id", "raw_score")
+        # Written before it is ranked: a range sort reads its input twice.
+        scored = stored(isolation_scores(data, nodes, config).select("user_id", "raw_score"), "raw-scores")
         ranked = global_row_number(scored, [F.desc("raw_score"), F.col("user_id")], "_rank")
         flagged = flag_scores(ranked, config.contamination).select(
             "user_id", "anomaly_score", "is_anomaly", F.col("_rank").cast("int").alias("anomaly_rank"))
-        kept = kept or original
-        out.append(kept.join(flagged, "user_id"))
+        out.append(original.join(flagged, "user_id"))
     return out
 
 

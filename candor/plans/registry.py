@@ -828,7 +828,7 @@ def strong_cases(i):
 @query("global_rank", ["stats"], """
     SELECT user_id, review_count, row_number() OVER (ORDER BY review_count DESC, user_id) AS rank FROM stats""")
 def global_rank(i):
-    counts = features.user_review_stats(i.reviews()).select("user_id", "review_count")
+    counts = i.once("counts", lambda: features.user_review_stats(i.reviews()).select("user_id", "review_count"))
     return global_row_number(counts, [F.desc("review_count"), F.col("user_id")], "rank")
 
 

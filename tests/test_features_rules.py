@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candor.functions.scalars import friend_count, lenient_number
+from candor.functions.scalars import friend_count, lenient_number, two_digits
 from candor.operators import features, forest, prepare, records, rules
 from candor.schemas import FEATURE_COLUMNS, SIGNUP_COLUMN
 
@@ -24,6 +24,12 @@ def test_lenient_numbers(spark):
     assert [r[0] for r in df.select(lenient_number("v")).collect()] == [1.5, None, None, None, None, None]
 
 
+def test_two_digits_as_text(spark):
+    values = [0.125, -0.125, 0.375, 2.0, -0.001, 0.001, 1.6666, -3.14159, 0.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r[0] for r in df.select(two_digits("v")).collect()] == [f"{v:.2f}" for v in values]
+
+
 def _users(spark, rows):
     schema = T.StructType([T.StructField("user_id", T.LongType())] + [
         T.StructField(c, T.LongType() if c in ("review_count", "account_age_days", "num_friends") else T.DoubleType())
