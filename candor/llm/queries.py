@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from candor.llm import simhash
+from candor.llm import compress_lang, maxscore, mixing, sharding, simhash, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +23,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
+
+
 @query
 def op3_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.balanced_shards(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights and probabilities to six digits, for comparison."""
+    mixed = mixing.mixture(table(spark, sf_dir, "documents"))
+    return mixed.withColumns({c: F.round(c, 6) for c in ("weight", "probability")})
+
+
+@query
+def op8_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = maxscore.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return maxscore.top_k(vectors, F.col("vec_id") % maxscore.QUERY_STEP == 0)
+
+
+@query
+def op9_languages_by_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress_lang.languages(table(spark, sf_dir, "documents"))
