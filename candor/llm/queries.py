@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candor.llm import compress_lang, maxscore, mixing, sharding, simhash, url_filter
+from candor.llm import compress_lang, maxscore, mixing, pieces, sharding, simhash, syncmers, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +45,22 @@ def op5_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumns({c: F.round(c, 6) for c in ("weight", "probability")})
 
 
+@query
+def op6_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded and decoded again: counts and digests of the pieces, and whether the text came back whole."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = pieces.decode(pieces.encode(docs))
+    return back.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.size("pieces").cast("long").alias("n_pieces"),
+        F.xxhash64("pieces").alias("pieces_hash"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
+@query
+def op7_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edit_fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = maxscore.integer_vectors(table(spark, sf_dir, "embeddings"))
