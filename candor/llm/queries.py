@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candor.llm import compress_lang, maxscore, mixing, pieces, sharding, simhash, syncmers, url_filter
+from candor.llm import (compress_lang, html_text, maxscore, mixing, pieces, sharding, simhash, syncmers, token_counts,
+                        url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.page_texts(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
@@ -70,3 +76,13 @@ def op8_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_languages_by_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress_lang.languages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four edits on every document, and its token counts before and after them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    counted = token_counts.edited_counts(docs.withColumn("edits", token_counts.standard_edits(docs.text, docs.doc_id)))
+    return counted.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), "n_tokens", "n_pretokens", "edited_tokens",
+        "reencoded_chars", F.sha2("edited", 256).alias("edited_sha256"))
