@@ -220,8 +220,10 @@ def standard_edits(text: Column, doc_id: Column) -> Column:
     """
     n = F.length(text).cast("long")
     place = [F.pmod(F.xxhash64(F.coalesce(doc_id, F.lit(0)), F.lit(i)), F.greatest(n, F.lit(1))) for i in range(3)]
-    return F.array(
-        F.struct(place[0].alias("start"), F.lit(40).cast("long").alias("removed"), F.lit("").alias("added")),
-        F.struct(F.lit(0).cast("long"), F.lit(0).cast("long"), F.substring(text, place[1].cast("int") + 1, F.lit(60))),
-        F.struct(place[2], F.lit(1).cast("long"), F.lit("'re")),
-        F.struct(n + 30, F.lit(0).cast("long"), F.lit("\n  Revised: 2024 ")))
+    def change(start: Column, removed: int, added: Column) -> Column:
+        return F.struct(start.alias("start"), F.lit(removed).cast("long").alias("removed"), added.alias("added"))
+
+    return F.array(change(place[0], 40, F.lit("")),
+                   change(F.lit(0).cast("long"), 0, F.substring(text, place[1].cast("int") + 1, F.lit(60))),
+                   change(place[2], 1, F.lit("'re")),
+                   change(n + 30, 0, F.lit("\n  Revised: 2024 ")))
