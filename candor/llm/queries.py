@@ -86,3 +86,87 @@ def op10_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), "n_tokens", "n_pretokens", "edited_tokens",
         "reencoded_chars", F.sha2("edited", 256).alias("edited_sha256"))
+
+
+def _sql_list(values) -> str:
+    return ", ".join("(" + ", ".join(f"'{x}'" for x in v) + ")" for v in values)
+
+
+def _url_sql() -> str:
+    rules = [(r, verdict, r.partition("/")[0], "/" + r.partition("/")[2])
+             for verdict, named in url_filter.RULES.items() for r in named]
+    return f"""
+WITH rules(rule, verdict, h, p) AS (VALUES {_sql_list(rules)}),
+hosts(h) AS (VALUES {_sql_list((h,) for h in url_filter.LISTED_HOSTS)}),
+urls AS (
+  SELECT page_id,
+         coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+fits AS (
+  SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM urls JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id),
+bad AS (SELECT DISTINCT page_id FROM urls JOIN hosts ON host = h OR ends_with(host, '.' || h))
+SELECT urls.page_id, host, path, rule, bad.page_id IS NOT NULL AS listed,
+       coalesce(verdict, CASE WHEN bad.page_id IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM urls LEFT JOIN fits USING (page_id) LEFT JOIN bad USING (page_id)"""
+
+
+def _search_sql() -> str:
+    return f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({maxscore.SCALE} * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND NOT list_bool_or(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)))),
+pairs AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.v, d.v) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id % {maxscore.QUERY_STEP} = 0 AND q.vec_id <> d.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {maxscore.TOP}"""
+
+
+def _mixture_sql(cycles: int = 30) -> str:
+    """Raking written out for a number of cycles that is ample for the tolerance of the operator."""
+    topics = " ".join(f"WHEN regexp_matches(coalesce(text, ''), '{p}') THEN '={name}'" for name, p in mixing.TOPICS)
+    parts = [f"""
+WITH own AS MATERIALIZED (
+  SELECT doc_id, coalesce('=' || source, '-') AS source, coalesce('=' || lang, '-') AS lang,
+         CASE {topics} ELSE '=prose' END AS topic,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '{mixing.WORD}')) AS BIGINT) AS tokens
+  FROM documents),
+cells AS MATERIALIZED (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS t FROM own WHERE tokens > 0 GROUP BY ALL)"""]
+    for m in mixing.MARGINS:
+        parts.append(f"""
+want_{m} AS MATERIALIZED (
+  SELECT {m}, r / sum(r) OVER () * (SELECT sum(t) FROM cells) AS want
+  FROM (SELECT {m}, pow(sum(t), {mixing.TEMPERATURES[m]}) AS r FROM cells GROUP BY {m})),
+{m}_0 AS MATERIALIZED (SELECT {m}, 1.0::DOUBLE AS f FROM want_{m})""")
+    at = dict.fromkeys(mixing.MARGINS, 0)
+    for _ in range(cycles):
+        for m in mixing.MARGINS:
+            a, b = (x for x in mixing.MARGINS if x != m)
+            parts.append(f"""
+{m}_{at[m] + 1} AS MATERIALIZED (
+  SELECT {m}, any_value(want) / sum(t * a.f * b.f) AS f
+  FROM cells JOIN {a}_{at[a]} a USING ({a}) JOIN {b}_{at[b]} b USING ({b}) JOIN want_{m} USING ({m}) GROUP BY {m})""")
+            at[m] += 1
+    s, l, t = (f"{m}_{at[m]}" for m in mixing.MARGINS)
+    parts.append(f"""
+raked AS MATERIALIZED (
+  SELECT source, lang, topic, s.f * l.f * t.f AS w
+  FROM cells JOIN {s} s USING (source) JOIN {l} l USING (lang) JOIN {t} t USING (topic)),
+judged AS (
+  SELECT own.*, CASE WHEN tokens = 0 THEN 1.0 ELSE w END AS weight,
+         CASE WHEN tokens = 0 THEN 1.0 ELSE w / (SELECT max(w) FROM raked) END AS probability
+  FROM own LEFT JOIN raked USING (source, lang, topic))
+SELECT doc_id, source, lang, topic, tokens, round(weight, 6) AS weight, round(probability, 6) AS probability,
+       CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT)
+         / {float(1 << 52)} < probability AS kept
+FROM judged""")
+    return ",".join(parts)
+
+
+ORACLES |= {
+    "op2_url_verdicts": _url_sql(),
+    "op5_source_mixture": _mixture_sql(),
+    "op8_top_inner_products": _search_sql(),
+}
