@@ -45,6 +45,7 @@ _MARK = re.compile(rf"(?:.*[-_])?(?:{'|'.join(_MARKS.split())})(?:[-_0-9].*)?",
 _STATE = re.compile(r"(?:has|with|no|is|not)[-_]", re.IGNORECASE)
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
+_UNENDED = re.compile(r"<[A-Za-z/!?]")
 _STOPS = re.compile(r"[.,;:!?…。，、；：！？]")
 _KERNEL = [math.exp(-(d * d) / (2 * SIGMA * SIGMA)) for d in range(RADIUS + 1)]
 
@@ -71,6 +72,8 @@ class _Blocks(HTMLParser):
         self._linked, self._links = 0, 0
 
     def finish(self) -> list[tuple[_Element, str, int]]:
+        if _UNENDED.match(self.rawdata):  # a tag or comment that the page's end cuts off is no text
+            self.rawdata = ""
         self.close()
         self._end_block()
         return self.blocks
