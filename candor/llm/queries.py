@@ -134,11 +134,12 @@ WITH own AS MATERIALIZED (
          CAST(len(regexp_extract_all(coalesce(text, ''), '{mixing.WORD}')) AS BIGINT) AS tokens
   FROM documents),
 cells AS MATERIALIZED (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS t FROM own WHERE tokens > 0 GROUP BY ALL)"""]
+    parts.append(f"""
+raised AS MATERIALIZED (SELECT *, pow(t, {mixing.TEMPERATURE}) AS r FROM cells)""")
     for m in mixing.MARGINS:
         parts.append(f"""
 want_{m} AS MATERIALIZED (
-  SELECT {m}, r / sum(r) OVER () * (SELECT sum(t) FROM cells) AS want
-  FROM (SELECT {m}, pow(sum(t), {mixing.TEMPERATURES[m]}) AS r FROM cells GROUP BY {m})),
+  SELECT {m}, sum(r) / (SELECT sum(r) FROM raised) * (SELECT sum(t) FROM cells) AS want FROM raised GROUP BY {m}),
 {m}_0 AS MATERIALIZED (SELECT {m}, 1.0::DOUBLE AS f FROM want_{m})""")
     at = dict.fromkeys(mixing.MARGINS, 0)
     for _ in range(cycles):
