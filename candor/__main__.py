@@ -22,7 +22,7 @@ STEPS = {
         t["restaurant_reviews"], t["users_base"], o["as_of"] or None)),
     "rule-scores": (["user_features"], {}, lambda t, o: rules.rule_based_scores(t["user_features"])),
     "user-anomaly": (["user_features"], {}, lambda t, o: forest.user_anomaly_scores(
-        t["user_features"]).orderBy("anomaly_rank")),
+        t["user_features"])),
     "model-scores": (["user_features"], {}, lambda t, o: forest.config_scores(t["user_features"])),
     "model-comparison": (["model_scores"], {}, lambda t, o: forest.anomaly_config_summary(t["model_scores"])),
     "score-metrics": (["user_anomaly_scores"], {}, lambda t, o: forest.score_metrics(t["user_anomaly_scores"])),

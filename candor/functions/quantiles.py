@@ -14,11 +14,13 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from candor.functions.scalars import finite
+
 ACCURACY = 10_000
 
 
 def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of numeric columns; nulls are ignored.
+    """Linearly interpolated quantiles of numeric columns; nulls, NaN and infinities are ignored.
 
     ``wanted`` maps a column to probabilities. Only a handful of numbers per
     quantile reaches the driver. ``None`` stands for a column without values.
@@ -27,7 +29,7 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str,
     sketch = []
     for c, probs in wanted.items():
         ends = [min(1.0, max(0.0, p + s)) for p in probs for s in (-slack, slack)]
-        value = F.col(c).cast("double")
+        value = finite(c)
         sketch += [F.count(value).alias(f"n_{c}"),
                    F.percentile_approx(value, ends, ACCURACY).alias(f"b_{c}")]
     row = df.agg(*sketch).first()
@@ -65,7 +67,7 @@ def _walk(df: DataFrame, targets: list[dict]) -> dict[int, tuple]:
         return {}
     entries = []
     for i, t in enumerate(targets):
-        value = F.col(t["col"]).cast("double")
+        value = finite(t["col"])
         lo, hi = F.lit(t["lo"]), F.lit(t["hi"])
         # Rows under the bracket are only counted (null value), rows above it are dropped.
         entries.append(F.when(value <= hi, F.struct(

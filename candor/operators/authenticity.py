@@ -80,11 +80,11 @@ def business_spike_events(cases: DataFrame) -> DataFrame:
 def flagged_reviewers(reviews: DataFrame, scores: DataFrame) -> DataFrame:
     """Distinct flagged users who reviewed each business.
 
-    (business, user) pairs collapse map-side before the join, so one prolific
-    user weighs one row per business there.
+    The few flagged users select the reviews first; what is left collapses
+    map-side to distinct pairs.
     """
-    pairs = reviews.select("business_id", "user_id").distinct()
-    return pairs.join(scores.filter(F.col("is_anomaly") == 1).select("user_id"), "user_id", "left_semi")
+    flagged = scores.filter(F.col("is_anomaly") == 1).select("user_id")
+    return reviews.select("business_id", "user_id").join(flagged, "user_id", "left_semi").distinct()
 
 
 def business_authenticity(restaurants: DataFrame, reviews: DataFrame, cases: DataFrame, impact: DataFrame,
@@ -163,11 +163,18 @@ def enrich_business(rows: DataFrame, restaurants: DataFrame) -> DataFrame:
     return rows.join(info, "business_id", "left")
 
 
-def business_impact(volume: DataFrame, rating: DataFrame, restaurants: DataFrame | None = None) -> DataFrame:
+def business_impact(volume: DataFrame, rating: DataFrame, restaurants: DataFrame | None = None,
+                    ids: list | None = None) -> DataFrame:
     """Volume and rating impact side by side for every event known to either.
 
-    Filter on ``business_id`` for a single business; the filter reaches both sides.
+    ``ids`` looks up single businesses: the choice is pushed to both scans, and
+    if neither side knows any of them a ``LookupError`` is raised.
     """
+    if ids is not None:
+        wanted = F.col("business_id").cast("string").isin([str(i) for i in ids])
+        volume, rating = volume.filter(wanted), rating.filter(wanted)
+        if volume.isEmpty() and rating.isEmpty():
+            raise LookupError(f"no impact is known for {ids}")
     right = rating_delta(rating).withColumnRenamed("delta_after_before", "rating_change")
     clash = set(volume.columns) & set(right.columns) - set(EVENT_KEY)
     right = right.select(*[F.col(c).alias(c + "_rating") if c in clash else F.col(c) for c in right.columns])

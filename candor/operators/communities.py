@@ -10,6 +10,8 @@ back.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -20,12 +22,13 @@ from candor.session import scratch_path, stored
 MIN_CLUSTER_SIZE = 3
 
 # A level ends when nothing gains, or after this many rounds in a row that
-# raised modularity by less than the tolerance.
-_PATIENCE = 2
+# raised modularity by less than the tolerance. Accepted rounds never lower it,
+# so the search ends by itself and has no other limit.
+_PATIENCE = 4
 
 
 def louvain_communities(edges: DataFrame, weight: str | None = None, seed: int = 42,
-                        tolerance: float = 1e-4, max_rounds: int = 60, max_levels: int = 12) -> DataFrame:
+                        tolerance: float = 1e-7) -> DataFrame:
     """``vertex, community`` for an undirected edge table ``user_a, user_b [, weight]``.
 
     Repeated edges count once unless a weight column is named. The state of
@@ -48,24 +51,25 @@ def louvain_communities(edges: DataFrame, weight: str | None = None, seed: int =
     if not total:
         return members
 
-    for level in range(max_levels):
-        labels, moved = _settle(arcs, nodes, total, seed + level, tolerance, max_rounds)
+    for level in count():
+        labels, moved = _settle(arcs, nodes, total, seed + level, tolerance)
         if not moved:
-            break
+            return members
         members = stored(
             members.join(labels.select(F.col("v").alias("community"), F.col("c").alias("_up")), "community")
             .select("vertex", F.col("_up").alias("community")), "members")
         arcs, nodes = _contract(arcs, labels)
-    return members
 
 
-def _settle(arcs: DataFrame, nodes: DataFrame, total: float, seed: int, tolerance: float, max_rounds: int):
+def _settle(arcs: DataFrame, nodes: DataFrame, total: float, seed: int, tolerance: float):
     """Move vertices of one level until nothing gains. Returns (v, k, inner, c) and whether any moved."""
     spark = arcs.sparkSession
     slots = [scratch_path(spark, f"labels{i}") for i in range(3)]
+    # Degrees do not change within a level, so the arcs carry that of their vertex.
+    arcs = stored(arcs.join(nodes.select("v", "k"), "v"), "level-arcs")
     current, current_slot = nodes.withColumn("c", F.col("v")), None
     best, best_slot, best_q, stale = None, None, float("-inf"), 0
-    for turn in range(max_rounds):
+    for turn in count():
         slot = next(s for s in slots if s not in (current_slot, best_slot))
         proposal, q, wishes = _judged(_propose(arcs, current, total, seed, turn), total, slot)
         if q < best_q - 1e-12:
@@ -82,22 +86,24 @@ def _settle(arcs: DataFrame, nodes: DataFrame, total: float, seed: int, toleranc
     return best, not best.filter("c <> v").isEmpty()
 
 
-# A vertex's own community always competes, also without a neighbour in it. Ties
-# go to the smaller label. Links are summed per (vertex, community) before they
-# are shuffled, so a vertex with very many neighbours does not load one task.
+# A vertex's own community always competes, also without a neighbour in it: its
+# own row, of no weight, carries what is known of the vertex through the sum of
+# links. Ties go to the smaller label. Links are summed per (vertex, community)
+# and options per vertex before they are shuffled; the only join after the sum is
+# with the stored community totals, whose sides are both plain shuffles, so that
+# a community with a large share of the links is split by adaptive execution.
 _ROUND = """
     WITH links AS (
-        SELECT v, c, sum(w) AS link
-        FROM (SELECT a.v, n.c, a.w FROM {arcs} a JOIN {nodes} n ON a.u = n.v
-              UNION ALL SELECT v, c, 0D FROM {nodes})
+        SELECT v, c, sum(w) AS link, max(k) AS k, max(inner) AS inner
+        FROM (SELECT a.v, n.c, a.w, a.k, CAST(NULL AS DOUBLE) AS inner FROM {arcs} a JOIN {nodes} n ON a.u = n.v
+              UNION ALL SELECT v, c, 0D, k, inner FROM {nodes})
         GROUP BY v, c),
-    totals AS (SELECT c, sum(k) AS tot FROM {nodes} GROUP BY c),
     options AS (
-        SELECT n.v, n.k, n.inner, n.c AS c_old, l.c, l.link, t.tot, l.c = n.c AS home,
-               l.link - n.k * (t.tot - if(l.c = n.c, n.k, 0D)) / :total AS score
-        FROM links l JOIN totals t ON l.c = t.c JOIN {nodes} n ON l.v = n.v),
+        SELECT l.v, l.k, l.inner, l.c, l.link, t.tot, l.inner IS NOT NULL AS home,
+               l.link - l.k * (t.tot - if(l.inner IS NOT NULL, l.k, 0D)) / :total AS score
+        FROM links l JOIN {totals} t ON l.c = t.c),
     chosen AS (
-        SELECT v, first(k) AS k, first(inner) AS inner, first(c_old) AS c_old,
+        SELECT v, max(k) AS k, max(inner) AS inner, max(if(home, c, NULL)) AS c_old,
                max(if(home, score, NULL)) AS stay, max(if(home, link, NULL)) AS own_link,
                max(if(home, tot, NULL)) AS own_tot, min(struct(-score AS loss, c AS c)) AS top
         FROM options GROUP BY v)
@@ -108,7 +114,9 @@ _ROUND = """
 
 def _propose(arcs: DataFrame, nodes: DataFrame, total: float, seed: int, turn: int) -> DataFrame:
     """Best community per vertex given the labels of the round's start."""
-    return arcs.sparkSession.sql(_ROUND, {"total": total, "seed": seed, "turn": turn}, arcs=arcs, nodes=nodes)
+    totals = stored(nodes.groupBy("c").agg(F.sum("k").alias("tot")), "totals")
+    return arcs.sparkSession.sql(_ROUND, {"total": total, "seed": seed, "turn": turn},
+                                 arcs=arcs, nodes=nodes, totals=totals)
 
 
 def _judged(proposal: DataFrame, total: float, path: str) -> tuple[DataFrame, float, int]:

@@ -56,34 +56,49 @@ def model_input(features: DataFrame) -> DataFrame:
 def tree_samples(data: DataFrame, config: ForestConfig, n_rows: int) -> DataFrame:
     """``tree_id`` plus the rows drawn for it, without replacement.
 
-    A draw depends on user id and seed alone, never on the partitioning. While
-    the table is small against the draws, every tree rolls for every row; then
-    N is at most a few times trees x sample, so this work is bounded. On a
-    larger table one roll per row decides whether it is drawn at all and a
-    second one for which tree, so the cost no longer grows with the trees.
+    A draw depends on user id and seed alone, never on the partitioning. By the
+    law at every size, each tree rolls for every row and takes the ``psi`` rows
+    with the smallest rolls. Only rolls below a share that a tree's sample
+    overshoots by six deviations are looked at: how many trees a row meets below
+    it is one binomial draw, which trees is a hash order of all trees, so the
+    work is that of the rows met and a row may serve any number of trees. Should
+    a tree come out short, the share doubles, so every tree gets exactly ``psi``.
     """
     trees, psi = config.n_estimators, min(config.max_samples, n_rows)
-    wanted = trees * psi
-    scale = 1 << 40
-
-    def roll(salt: Column) -> Column:
-        hashed = F.xxhash64("user_id", salt, F.lit(config.seed))
-        return F.pmod(hashed, F.lit(scale)).cast("double") / scale
-
-    if n_rows <= 4 * wanted:
-        share = min(1.0, (psi + 6 * math.sqrt(psi)) / n_rows)
-        picked = (data.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-                  .withColumn("_roll", roll(F.col("tree_id"))).filter(F.col("_roll") < share))
-    else:
-        share = (wanted + 6 * trees * math.sqrt(psi)) / n_rows
-        picked = (data.withColumn("_roll", roll(F.lit("drawn"))).filter(F.col("_roll") < share)
-                  .withColumn("tree_id", F.floor(roll(F.lit("tree")) * trees).cast("int")))
     # A fixed number of slices: growing is costly per row, adaptive execution
     # would put these few rows into one task.
     slices = min(trees, 2 * data.sparkSession.sparkContext.defaultParallelism)
-    picked = picked.repartition(slices, "tree_id")
-    place = F.row_number().over(Window.partitionBy("tree_id").orderBy("_roll", "user_id"))
-    return picked.withColumn("_place", place).filter(F.col("_place") <= psi).drop("_place", "_roll")
+    share = min(1.0, (psi + 6 * math.sqrt(psi)) / n_rows)
+    while True:
+        met = _rows_met(data, trees, share, config.seed).repartition(slices, "tree_id")
+        place = F.row_number().over(Window.partitionBy("tree_id").orderBy("_roll", "user_id"))
+        picked = stored(met.withColumn("_place", place).filter(F.col("_place") <= psi).drop("_place", "_roll"), "samples")
+        if share >= 1.0 or picked.count() == trees * psi:
+            return picked.repartition(slices, "tree_id")
+        share = min(1.0, 2 * share)
+
+
+def _rows_met(data: DataFrame, trees: int, share: float, seed: int) -> DataFrame:
+    """``tree_id, _roll`` and the row for every (tree, row) whose roll lies below ``share``."""
+    scale = 1 << 40
+
+    def roll(*salt: Column) -> Column:
+        return F.pmod(F.xxhash64("user_id", *salt, F.lit(seed)), F.lit(scale)).cast("double") / scale
+
+    # Distribution of the number of trees a row meets, up to where nothing is left of it.
+    chance, upto, steps = (1.0 - share) ** trees if share < 1.0 else 0.0, 0.0, []
+    for n in range(trees):
+        upto += chance
+        if share < 1.0 and upto > 1.0 - 1e-13 and n >= trees * share:
+            break
+        steps.append(upto)
+        chance = math.comb(trees, n + 1) * share ** (n + 1) * (1.0 - share) ** (trees - n - 1)
+    draw = F.filter(F.array(*[F.lit(x) for x in steps]), lambda x: x <= roll(F.lit("trees")))
+    order = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
+        F.xxhash64("user_id", t, F.lit(f"order{seed}")).alias("place"), t.alias("tree"))))
+    found = data.withColumn("_n", F.size(draw)).filter("_n > 0")
+    return (found.withColumn("tree_id", F.explode(F.transform(F.slice(order, F.lit(1), F.col("_n")), lambda s: s["tree"])))
+            .withColumn("_roll", roll(F.col("tree_id"))).drop("_n"))
 
 
 def grow_trees(data: DataFrame, configs: list[ForestConfig]) -> DataFrame:
@@ -213,7 +228,7 @@ def user_anomaly_scores(features: DataFrame, config: ForestConfig = ForestConfig
 
     Rank 1 is the most anomalous; ties go by user id.
     """
-    return _score_all(features, [config])[0]
+    return _score_all(features, [config])[0].orderBy("anomaly_rank")
 
 
 def _slices(spark: SparkSession, n_rows: int) -> int:
@@ -234,7 +249,7 @@ def _score_all(features: DataFrame, configs: list[ForestConfig]) -> list[DataFra
         scored = stored(isolation_scores(data, nodes, config).select("user_id", "raw_score"), "raw-scores")
         ranked = global_row_number(scored, [F.desc("raw_score"), F.col("user_id")], "_rank")
         flagged = flag_scores(ranked, config.contamination).select(
-            "user_id", "anomaly_score", "is_anomaly", F.col("_rank").cast("int").alias("anomaly_rank"))
+            "user_id", "anomaly_score", "is_anomaly", F.col("_rank").alias("anomaly_rank"))
         out.append(original.join(flagged, "user_id"))
     return out
 

@@ -15,7 +15,7 @@ AS_OF = "DATE '2002-01-01'"
 TABLES: dict[str, tuple[list[str], str]] = {
     "reviews": ([], """
         SELECT md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d'))) AS review_id,
-               CASE WHEN l_orderkey % 101 <> 0 THEN o_custkey END AS user_id,
+               CASE WHEN l_orderkey % 101 <> 0 THEN CASE WHEN o_custkey % 97 = 5 THEN -o_custkey ELSE o_custkey END END AS user_id,
                CASE WHEN l_orderkey % 103 <> 0 THEN l_suppkey // 5 END AS business_id,
                CASE WHEN o_custkey % 10 = 0 THEN 5.0::DOUBLE WHEN o_custkey % 10 = 1 THEN 1.0::DOUBLE
                     ELSE (1 + CAST(l_quantity AS INT) % 5)::DOUBLE END AS stars,
@@ -30,7 +30,7 @@ TABLES: dict[str, tuple[list[str], str]] = {
                     ELSE strftime(TIMESTAMP '1990-01-01' + to_days(CAST(c_custkey % 1500 AS INT)), '%Y-%m-%d %H:%M:%S') END AS {SIGNUP_COLUMN},
                CASE c_custkey % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'None'
                     ELSE repeat('f, ', CAST(c_custkey % 9 AS INT)) || 'f' END AS friends
-        FROM customer WHERE c_custkey % 97 <> 5"""),
+        FROM customer"""),
     "businesses": ([], """
         SELECT business_id, concat('Business ', business_id // 2) AS name, concat('City ', business_id % 3) AS city,
                concat('S', business_id % 3) AS state,
@@ -111,7 +111,7 @@ TABLES: dict[str, tuple[list[str], str]] = {
         FROM rule_flags"""),
     "scores": (["features", "flags"], """
         SELECT f.*, anomaly_score, is_anomaly,
-               CAST(row_number() OVER (ORDER BY anomaly_score DESC, f.user_id) AS INTEGER) AS anomaly_rank
+               row_number() OVER (ORDER BY anomaly_score DESC, f.user_id) AS anomaly_rank
         FROM features f JOIN flags g ON f.user_id = g.user_id
         WHERE account_age_days IS NOT NULL AND num_friends IS NOT NULL"""),
     "in_window": (["rr", "events"], """

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candor.functions.ranking import global_row_number
-from candor.functions.scalars import rounded
+from candor.functions.scalars import friend_count, rounded
 from candor.operators import (authenticity, communities, features, forest, graph, impact, prepare,
                               records, reports, rules, spikes)
 from candor.plans.chain import analyse
@@ -75,8 +75,7 @@ class Inputs:
         return complete.join(self.flags(), "user_id")
 
     def ranked_scores(self) -> DataFrame:
-        ranked = global_row_number(self.scores(), [F.desc("anomaly_score"), F.col("user_id")], "anomaly_rank")
-        return ranked.withColumn("anomaly_rank", F.col("anomaly_rank").cast("int"))
+        return global_row_number(self.scores(), [F.desc("anomaly_score"), F.col("user_id")], "anomaly_rank")
 
     def events(self) -> DataFrame:
         """Spike events, from the narrow reviews."""
@@ -132,13 +131,35 @@ def _columns(names: list[str], prefix: str = "") -> str:
 
 @query("src_json_roundtrip", ["reviews"], """
     SELECT review_id, CAST(user_id AS VARCHAR) AS user_id, CAST(business_id AS VARCHAR) AS business_id, stars,
-           strftime(date, '%Y-%m-%d %H:%M:%S') AS date, text FROM reviews""")
+           strftime(date, '%Y-%m-%d %H:%M:%S') AS date, text, length(text) AS useful FROM reviews""")
 def src_json_roundtrip(i):
+    """Raw lines with an undeclared field, stars as text, and lines that are no JSON beside them."""
     path = scratch_path(i.spark, "json")
-    typed = views.raw_reviews(i.spark, i.sf).withColumns(
-        {c: F.col(c).cast("string") for c in ("user_id", "business_id")})
-    typed.write.mode("overwrite").json(path)
-    return tables.read_json_lines(i.spark, path, RAW_SCHEMAS["review"]).drop(tables.CORRUPT)
+    raw = views.raw_reviews(i.spark, i.sf).withColumns({c: F.col(c).cast("string") for c in ("user_id", "business_id", "stars")})
+    raw = raw.withColumn("useful", F.length("text"))
+    broken = i.businesses().select(F.concat(F.lit('{"name": "'), "name").alias("value"))
+    raw.select(F.to_json(F.struct("*")).alias("value")).union(broken).write.text(path)
+    df = tables.raw_table(i.spark, path, RAW_SCHEMAS["review"])
+    return df.filter(F.col(tables.CORRUPT).isNull()).drop(tables.CORRUPT).withColumn("useful", F.col("useful").cast("long"))
+
+
+@query("src_convert_raw", ["users", "businesses"], """
+    SELECT CAST(user_id AS VARCHAR) AS user_id,
+           CASE user_id % 4 WHEN 0 THEN '[]' WHEN 1 THEN '["f"]' WHEN 2 THEN '["f","f"]' ELSE '["f","f","f"]' END AS friends,
+           CAST(user_id % 4 AS INTEGER) AS num_friends,
+           (SELECT count(*) FROM businesses) AS corrupt_lines FROM users""")
+def src_convert_raw(i):
+    """Users whose friends are JSON arrays, the empty one among them, beside lines that are no JSON."""
+    raw, out = scratch_path(i.spark, "raw"), scratch_path(i.spark, "converted")
+    users = views.raw_users(i.spark, i.sf).select(
+        F.col("user_id").cast("string").alias("user_id"),
+        F.array_repeat(F.lit("f"), (F.col("user_id") % 4).cast("int")).alias("friends"))
+    broken = i.businesses().select(F.concat(F.lit('{"user_id": '), "name").alias("value"))
+    users.select(F.to_json(F.struct("*")).alias("value")).union(broken).write.text(f"{raw}/user.json")
+    counts = tables.convert_raw(i.spark, raw, out)["user"]
+    df = tables.read_table(i.spark, f"{out}/user")
+    return df.select("user_id", "friends", friend_count(df).alias("num_friends"),
+                     F.lit(counts["corrupt"]).cast("long").alias("corrupt_lines"))
 
 
 @query("src_parquet_scan", [], "SELECT * FROM customer", ["c_acctbal"])
@@ -148,7 +169,11 @@ def src_parquet_scan(i):
 
 @query("src_business_names", ["names"], "SELECT * FROM names")
 def src_business_names(i):
-    return i.names()
+    """The reader on a table in which ids repeat under other names."""
+    path = scratch_path(i.spark, "names")
+    shops = i.businesses().select("business_id", "name")
+    tables.write_table(shops.union(shops.select("business_id", F.concat("name", F.lit(" (closed)")))), path)
+    return tables.read_business_names(i.spark, path)
 
 
 @query("sink_parquet_roundtrip", ["restaurants"], "SELECT * FROM restaurants")
@@ -166,14 +191,26 @@ def sink_partitioned_roundtrip(i):
     return tables.read_table(i.spark, path, out.columns)
 
 
+SHARED_CASE_COLUMNS = ["review_count", *EVENT_DOUBLES, "history_days", "total_reviews_in_window",
+                       "suspicious_reviews_in_window", "suspicious_user_count", "max_anomaly_score", "avg_anomaly_score",
+                       "window_days"]
 CASE_IMPACT_DOUBLES = [*SUSBIZ_DOUBLES, *(f"{c}_impact" for c in SUSBIZ_DOUBLES), *STAR_DOUBLES,
                        "delta_after_before"]
 
 
-@query("sink_csv_cases", ["cases_impact"], "SELECT * FROM cases_impact", CASE_IMPACT_DOUBLES)
+@query("sink_csv_cases", ["cases", "names", "impact"], f"""
+    SELECT c.*, {", ".join(f"i.{c} AS {c}_impact" for c in SHARED_CASE_COLUMNS)},
+           i.avg_stars_before, i.n_reviews_before, i.avg_stars_during, i.n_reviews_during, i.avg_stars_after,
+           i.n_reviews_after, i.before_days, i.during_days, i.after_days, i.delta_after_before,
+           concat('  "', c.name, '", said' || chr(10) || 'they  ') AS note
+    FROM cases c LEFT JOIN (SELECT * FROM impact WHERE abs(avg_stars_after - avg_stars_before) > 0.3) i
+      ON c.business_id = i.business_id AND c.spike_date = i.spike_date""", CASE_IMPACT_DOUBLES)
 def sink_csv_cases(i):
+    """Cases with the changed ratings, where there is one, and a text with blanks, quotes and a line break."""
     path = scratch_path(i.spark, "csv")
-    out = authenticity.with_impact(i.cases(), i.rating(), how="left")
+    changed = i.rating().filter("abs(avg_stars_after - avg_stars_before) > 0.3")
+    note = F.concat(F.lit('  "'), "name", F.lit('", said\nthey  '))
+    out = authenticity.with_impact(i.cases(), changed, how="left").withColumn("note", note)
     tables.write_csv(out, path)
     return tables.read_csv(i.spark, path, out.schema)
 
@@ -520,7 +557,7 @@ def business_flagged_reviewers(i):
     return authenticity.flagged_reviewers(i.reviews(), i.flags())
 
 
-@query("business_authenticity", ["businesses", "cases", "impact", "reviewers", "clusters"], """
+@query("business_authenticity", ["restaurants", "cases", "impact", "reviewers", "clusters"], """
     SELECT *, 20 * has_spike_case + 20 * has_flagged_users + 40 * has_cluster + 20 * has_rating_change AS authenticity_score,
            CASE WHEN 20 * has_spike_case + 20 * has_flagged_users + 40 * has_cluster + 20 * has_rating_change >= 50
                 THEN 1 ELSE 0 END AS is_suspicious
@@ -531,23 +568,23 @@ def business_flagged_reviewers(i):
                CASE WHEN EXISTS (SELECT 1 FROM reviewers r JOIN clusters k ON r.user_id = k.user_id
                                  WHERE r.business_id = b.business_id) THEN 1 ELSE 0 END AS has_cluster,
                CASE WHEN (SELECT max(abs(delta_after_before)) FROM impact i WHERE i.business_id = b.business_id) > 0.3 THEN 1 ELSE 0 END AS has_rating_change
-        FROM businesses b)""")
+        FROM restaurants b)""")
 def business_authenticity(i):
     return authenticity.business_authenticity(
-        i.businesses(), i.reviews(), i.cases(), i.rating(), i.flags(), i.clusters())
+        i.restaurants(), i.reviews(), i.cases(), i.rating(), i.flags(), i.clusters())
 
 
-@query("business_card", ["businesses", "cases", "reviewers", "clusters"], """
+@query("business_card", ["restaurants", "cases", "reviewers", "clusters"], """
     SELECT b.business_id, coalesce(c.n, 0) AS review_spikes, CAST(coalesce(c.u, 0) AS BIGINT) AS suspicious_users,
            coalesce(k.n, 0) AS review_farm_clusters
-    FROM businesses b
+    FROM restaurants b
     LEFT JOIN (SELECT business_id, count(*) AS n, sum(suspicious_user_count) AS u FROM cases GROUP BY 1) c
       ON b.business_id = c.business_id
     LEFT JOIN (SELECT business_id, count(DISTINCT cluster_id) AS n FROM reviewers r JOIN clusters x
                ON r.user_id = x.user_id GROUP BY 1) k ON b.business_id = k.business_id""")
 def business_card(i):
     return authenticity.business_card(
-        i.businesses(), i.reviews(), i.cases(), i.flags(), i.clusters())
+        i.restaurants(), i.reviews(), i.cases(), i.flags(), i.clusters())
 
 
 @query("max_delta_event", ["impact"], """
@@ -592,18 +629,24 @@ def enrich_business(i):
 
 
 @query("business_impact", ["volume", "impact"], """
-    SELECT v.*, i.window_days AS window_days_rating, i.review_count, i.baseline_mean AS baseline_mean_rating,
-           i.baseline_std, i.history_days, i.abs_increase AS abs_increase_rating, i.z_score AS z_score_rating,
-           i.total_reviews_in_window, i.suspicious_reviews_in_window AS suspicious_reviews_in_window_rating,
+    SELECT coalesce(v.business_id, i.business_id) AS business_id, coalesce(v.spike_date, i.spike_date) AS spike_date,
+           v.* EXCLUDE (business_id, spike_date), i.window_days AS window_days_rating, i.review_count,
+           i.baseline_mean AS baseline_mean_rating, i.baseline_std, i.history_days, i.abs_increase AS abs_increase_rating,
+           i.z_score AS z_score_rating, i.total_reviews_in_window,
+           i.suspicious_reviews_in_window AS suspicious_reviews_in_window_rating,
            i.suspicious_user_count AS suspicious_user_count_rating, i.max_anomaly_score, i.avg_anomaly_score,
            avg_stars_before, n_reviews_before, avg_stars_during, n_reviews_during, avg_stars_after, n_reviews_after,
            before_days, during_days, after_days, delta_after_before AS rating_change
-    FROM volume v JOIN impact i ON v.business_id = i.business_id AND v.spike_date = i.spike_date""",
+    FROM (SELECT * FROM volume WHERE meaningful_increase_flag = 1) v
+    FULL JOIN (SELECT * FROM impact WHERE abs(delta_after_before) > 0.3) i
+      ON v.business_id = i.business_id AND v.spike_date = i.spike_date""",
        [*VOLUME_DOUBLES, "baseline_std", "baseline_mean_rating", "abs_increase_rating", "z_score_rating",
         "max_anomaly_score", "avg_anomaly_score", *STAR_DOUBLES, "rating_change"])
 def business_impact(i):
-    # Every event of these tables has both impacts, so the oracle's inner join equals the outer one.
-    return authenticity.business_impact(i.volume(), i.rating())
+    """Volume of the meaningful events against rating of the changed ones: either side has events that the other lacks."""
+    volume = i.volume().filter("meaningful_increase_flag = 1")
+    rating = i.rating().filter("abs(avg_stars_after - avg_stars_before) > 0.3")
+    return authenticity.business_impact(volume, rating)
 
 
 # ---- reports ------------------------------------------------------------------------------------
@@ -916,7 +959,7 @@ def iforest_trees(i):
 
 @query("user_anomaly_scores")
 def user_anomaly_scores(i):
-    return i.model_scores().orderBy("anomaly_rank")
+    return i.model_scores()
 
 
 @query("model_score_metrics")

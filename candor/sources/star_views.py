@@ -30,7 +30,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.selectExpr(
         "md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,"
         " date_format(l_shipdate, 'yyyy-MM-dd'))) AS review_id",
-        "CASE WHEN l_orderkey % 101 <> 0 THEN o_custkey END AS user_id",
+        "CASE WHEN l_orderkey % 101 <> 0 THEN if(o_custkey % 97 = 5, -o_custkey, o_custkey) END AS user_id",
         "CASE WHEN l_orderkey % 103 <> 0 THEN l_suppkey div 5 END AS business_id",
         "CASE WHEN o_custkey % 10 = 0 THEN 5D WHEN o_custkey % 10 = 1 THEN 1D"
         " ELSE CAST(1 + CAST(l_quantity AS INT) % 5 AS DOUBLE) END AS stars",
@@ -47,8 +47,8 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as users; some reviewers have no row here, some dates are unreadable."""
-    return _table(spark, sf_dir, "customer").filter("c_custkey % 97 <> 5").selectExpr(
+    """All customers as users; reviewers with a negative id have no row here, some dates are unreadable."""
+    return _table(spark, sf_dir, "customer").selectExpr(
         "c_custkey AS user_id",
         "CASE WHEN c_custkey % 211 = 0 THEN 'bad' ELSE date_format("
         "timestampadd(DAY, CAST(c_custkey % 1500 AS INT), TIMESTAMP_NTZ '1990-01-01 00:00:00'),"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,12 +53,16 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> No
     df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
 
 
+# Values come back as they were: blanks kept, quotes doubled, line breaks inside quotes.
+_CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).options(**_CSV, multiLine=True).csv(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -71,25 +75,48 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def raw_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """JSON lines with every field they have, and ``_corrupt_record`` for lines that are no JSON.
+
+    Declared fields are read as text and then cast, so a number that was written
+    as text counts and a value that cannot be read is null; a declared field that
+    no line has is null. A list in a text field keeps its JSON form. Other fields
+    have the types that the data shows.
+    """
+    seen = read_json_lines(spark, path).schema
+    declared = {f.name: f.dataType for f in schema.fields}
+    fields = [T.StructField(n, T.StringType()) for n in declared]
+    fields += [f for f in seen.fields if f.name not in declared and f.name != CORRUPT]
+    df = read_json_lines(spark, path, T.StructType(fields))
+    return df.withColumns({n: F.col(n).try_cast(kind) for n, kind in declared.items() if kind != T.StringType()})
+
+
 def convert_raw(spark: SparkSession, raw_dir: str, out_dir: str, prefix: str = "",
-                declared: bool = True) -> list[str]:
+                declared: bool = True) -> dict[str, dict[str, int]]:
     """Raw JSON datasets to Parquet; an absent file is skipped. Reviews are laid out by year.
 
-    ``declared`` keeps the declared columns only and drops lines that do not
-    parse; otherwise the schema is inferred and every field is kept. Returns
-    the names converted.
+    Every field is kept. ``declared`` gives the declared columns their declared
+    types, otherwise all types are inferred. Lines that are no JSON go to
+    ``<out_dir>/_corrupt/<name>`` with their text. Returns the counts of rows
+    and of corrupt lines by dataset.
     """
-    done = []
+    done = {}
     for name in RAW_DATASETS:
         source = f"{raw_dir}/{prefix}{name}.json"
         if not path_exists(spark, source):
             continue
-        df = read_json_lines(spark, source, RAW_SCHEMAS[name] if declared else None)
-        if declared:
-            df = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        df = raw_table(spark, source, RAW_SCHEMAS[name]) if declared else read_json_lines(spark, source)
+        if CORRUPT not in df.columns:
+            df = df.withColumn(CORRUPT, F.lit(None).cast("string"))
+        seen = Observation()
+        good = (df.observe(seen, F.count_if(F.col(CORRUPT).isNull()).alias("rows"),
+                           F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt"))
+                .filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
         if name == "review" and "date" in df.columns:
-            write_table(add_review_year(df), f"{out_dir}/{name}", "review_year")
+            write_table(add_review_year(good), f"{out_dir}/{name}", "review_year")
         else:
-            write_table(df, f"{out_dir}/{name}")
-        done.append(name)
+            write_table(good, f"{out_dir}/{name}")
+        done[name] = dict(seen.get)
+        if done[name]["corrupt"]:
+            write_table(df.filter(F.col(CORRUPT).isNotNull()), f"{out_dir}/_corrupt/{name}")
     return done

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from candor.functions import quantiles
 from candor.functions.quantiles import exact_quantiles
 from candor.functions.ranking import global_row_number
+from candor.functions.scalars import friend_count
 from candor.operators import reports
 from candor.schemas import require_columns
 from candor.session import scratch_path
@@ -83,10 +84,34 @@ def test_require_columns(spark):
 def test_convert_raw_skips_absent_and_lays_reviews_out_by_year(spark):
     raw, out = scratch_path(spark, "raw"), scratch_path(spark, "out")
     spark.createDataFrame([('{"review_id":"r1","user_id":"u","business_id":"b","stars":4,"date":"2019-05-06 07:08:09","text":" x "}',),
+                           ('{"review_id":"r2","stars":"3","date":"2019-05-06 07:08:09","useful":7}',),
                            ("not json",)], "value string").coalesce(1).write.text(f"{raw}/review.json")
     spark.createDataFrame([('{"business_id":"b","name":"n","categories":"Restaurants"}',)], "value string"
                           ).write.text(f"{raw}/business.json")
-    assert tables.convert_raw(spark, raw, out) == ["business", "review"]
-    got = spark.read.parquet(f"{out}/review").collect()
-    assert [(r["review_id"], r["stars"], r["review_year"]) for r in got] == [("r1", 4.0, 2019)]
+    assert tables.convert_raw(spark, raw, out) == {"business": {"rows": 1, "corrupt": 0}, "review": {"rows": 2, "corrupt": 1}}
+    got = sorted(spark.read.parquet(f"{out}/review").collect())
+    assert [(r["review_id"], r["stars"], r["review_year"], r["useful"]) for r in got] == [("r1", 4.0, 2019, None), ("r2", 3.0, 2019, 7)]
+    assert [r[tables.CORRUPT] for r in spark.read.parquet(f"{out}/_corrupt/review").collect()] == ["not json"]
     assert not tables.path_exists(spark, f"{out}/tip")
+
+
+def test_friend_counts_of_all_forms(spark):
+    texts = [None, "", " None ", "a", "a, b,c", "[]", '["a"]', '["a", "b, c"]', " [ ] "]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, friends string")
+    got = df.select("i", friend_count(df).alias("n")).orderBy("i").collect()
+    assert [r.n for r in got] == [0, 0, 0, 1, 3, 0, 1, 2, 0]
+    lists = spark.createDataFrame([(None,), ([],), (["a", "b"],)], "friends array<string>")
+    assert [r.n for r in lists.select(friend_count(lists).alias("n")).collect()] == [0, 0, 2]
+
+
+def test_csv_returns_what_it_was_given(spark):
+    path = scratch_path(spark, "csv")
+    rows = [(1, "  padded  "), (2, 'a "quoted", b'), (3, "two\nlines"), (4, None), (5, "back\\slash\\"), (6, ",")]
+    df = spark.createDataFrame(rows, "i int, text string")
+    tables.write_csv(df, path)
+    assert sorted((r.i, r.text) for r in tables.read_csv(spark, path, df.schema).collect()) == rows
+
+
+def test_quantiles_pass_over_nan(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.0,), (None,), (3.0,), (float("inf"),)], "x double")
+    assert exact_quantiles(df, {"x": [0.5]}) == {"x": [2.0]}

@@ -158,14 +158,17 @@ def test_trees_do_not_depend_on_partitioning(spark, big, partitions):
     assert base.exceptAll(other).count() == 0 and other.exceptAll(base).count() == 0
 
 
-def test_one_roll_sampling_on_larger_tables(spark, big):
-    """Above the switch a row is drawn for one tree at most; every tree still gets its full sample."""
-    data = stored(forest.model_input(big), "input")
-    config = forest.ForestConfig(n_estimators=10, max_samples=16)
-    sample = forest.tree_samples(data, config, data.count())
-    per_tree = [r["count"] for r in sample.groupBy("tree_id").count().collect()]
-    assert len(per_tree) == 10 and max(per_tree) <= 16 and sum(per_tree) >= 0.9 * 160
-    assert sample.groupBy("user_id").count().filter("count > 1").count() == 0
+@pytest.mark.parametrize("n", [100, 1_500, 400_000])
+def test_every_tree_gets_a_full_sample_at_every_size(spark, n):
+    data = spark.range(n).withColumnRenamed("id", "user_id")
+    config = forest.ForestConfig(n_estimators=20, max_samples=256)
+    sample = forest.tree_samples(data, config, n)
+    want = min(256, n)
+    assert {r["tree_id"]: r["count"] for r in sample.groupBy("tree_id").count().collect()} == dict.fromkeys(range(20), want)
+    assert sample.distinct().count() == 20 * want
+    shared = sample.groupBy("user_id").count().filter("count > 1").count()
+    # Pairs of trees that meet in a row: 190 * 256^2 / n of them are expected.
+    assert shared > 0 if n < 400_000 else shared < 100
 
 
 def test_scores_flags_and_ranks(spark, big):
@@ -182,9 +185,13 @@ def test_scores_flags_and_ranks(spark, big):
     assert all(-1 < r["anomaly_score"] <= 1 for r in rows)
 
 
-def test_published_number_of_flagged_users():
-    n = 1_445_984
-    assert n - 1 - math.floor(0.95 * (n - 1)) == 72_300
+def test_flags_of_a_ranked_table(spark):
+    """By the published rule, N - 1 - floor(0.95 (N - 1)) of N distinct scores lie above the threshold."""
+    n = 2_001
+    data = spark.range(n).selectExpr("id AS user_id", "id / 5000D AS raw_score", f"{n} - id AS _rank")
+    flagged = forest.flag_scores(data, 0.05)
+    assert flagged.filter("is_anomaly = 1").count() == n - 1 - math.floor(0.95 * (n - 1))
+
 
 
 def test_incomplete_users_are_not_scored(spark, features):
