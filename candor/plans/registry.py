@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candor.functions.ranking import global_row_number
@@ -497,6 +497,32 @@ def user_clusters(i):
     return communities.user_clusters(communities.louvain_communities(i.graph()))
 
 
+@query("planted_clusters", [], """
+    SELECT c_custkey AS user_id, dense_rank() OVER (ORDER BY c_custkey // 6) - 1 AS cluster_id, n AS cluster_size
+    FROM (SELECT c_custkey, count(*) OVER (PARTITION BY c_custkey // 6) AS n FROM customer) WHERE n >= 3""")
+def planted_clusters(i):
+    """Customers in groups of six by id, all linked within a group: the best labelling is the groups."""
+    c = views.customers(i.spark, i.sf)
+    other = c.select(F.col("user_id").alias("user_b"), F.expr("user_id div 6").alias("team"))
+    links = (c.select(F.col("user_id").alias("user_a"), F.expr("user_id div 6").alias("team")).join(other, "team")
+             .filter("user_a < user_b").select("user_a", "user_b"))
+    return communities.user_clusters(communities.louvain_communities(links))
+
+
+@query("user_cluster_invariants", ["pairs"], """
+    SELECT count(DISTINCT u) AS vertices, 0 AS repeated_vertices, 0 AS small_clusters, 0 AS numbers_left_out
+    FROM (SELECT user_id_a AS u FROM pairs UNION ALL SELECT user_id_b FROM pairs)""")
+def user_cluster_invariants(i):
+    """Every linked user once, clusters of three or more, and dense numbers."""
+    members = stored(communities.louvain_communities(i.graph()), "members")
+    found = communities.user_clusters(members)
+    of_members = members.agg(F.countDistinct("vertex").alias("vertices"),
+                             (F.count(F.lit(1)) - F.countDistinct("vertex")).alias("repeated_vertices"))
+    of_clusters = found.agg(F.count_if(F.col("cluster_size") < 3).alias("small_clusters"), F.coalesce(
+        F.max("cluster_id") + 1 - F.countDistinct("cluster_id"), F.lit(0)).alias("numbers_left_out"))
+    return of_members.withColumn("k", F.lit(1)).join(of_clusters.withColumn("k", F.lit(1)), "k").drop("k")
+
+
 # ---- cases and business scores ------------------------------------------------------------------
 
 @query("suspicious_cases_min_users", ["susbiz"], "SELECT * FROM susbiz WHERE suspicious_user_count >= 2",
@@ -962,6 +988,34 @@ def user_anomaly_scores(i):
     return i.model_scores()
 
 
+@query("model_invariants", ["scores"], """
+    SELECT count(*) AS users, count(*) - 1 - CAST(floor(0.95 * (count(*) - 1)) AS BIGINT) AS flagged, 1 AS lowest_rank,
+           count(*) AS highest_rank, count(*) AS ranks, 0 AS out_of_order FROM scores""")
+def model_invariants(i):
+    """Ranks are a permutation in the order of the scores, and the highest twentieth is flagged."""
+    order = Window.partitionBy(F.expr("anomaly_rank div 1000")).orderBy("anomaly_rank")
+    scores = i.model_scores().withColumn("before", F.lag("anomaly_score").over(order))
+    return scores.agg(
+        F.count(F.lit(1)).alias("users"), F.count_if(F.expr("is_anomaly = 1")).alias("flagged"), F.min("anomaly_rank").alias("lowest_rank"),
+        F.max("anomaly_rank").alias("highest_rank"), F.countDistinct("anomaly_rank").alias("ranks"),
+        F.count_if(F.expr("anomaly_score > before")).alias("out_of_order"))
+
+
+@query("tree_invariants", ["scores"], """
+    SELECT config, 300 AS trees, CAST(least(256, (SELECT count(*) FROM scores)) AS BIGINT) AS smallest_root,
+           CAST(least(256, (SELECT count(*) FROM scores)) AS BIGINT) AS largest_root, 0 AS too_deep,
+           300 * least(256, (SELECT count(*) FROM scores)) AS rows_in_leaves
+    FROM (VALUES ('full_features'), ('subsampled_features')) t(config)""")
+def tree_invariants(i):
+    """Every configuration has its trees, every tree a full sample, no leaf is too deep, and leaves hold all rows."""
+    nodes = forest.grow_trees(forest.model_input(i.once("features", i.features)), forest.SWEEP)
+    root = F.when(F.col("node_id") == 0, F.col("size").cast("long"))
+    return nodes.groupBy("config").agg(
+        F.count_distinct("tree_id").alias("trees"), F.min(root).alias("smallest_root"), F.max(root).alias("largest_root"),
+        F.count_if(F.col("depth") > 8).alias("too_deep"),
+        F.sum(F.when(F.col("feature") < 0, F.col("size"))).alias("rows_in_leaves"))
+
+
 @query("model_score_metrics")
 def model_score_metrics(i):
     return forest.score_metrics(i.model_scores())

@@ -46,6 +46,10 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss")))
 
 
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "customer").selectExpr("c_custkey AS user_id")
+
+
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All customers as users; reviewers with a negative id have no row here, some dates are unreadable."""
     return _table(spark, sf_dir, "customer").selectExpr(
