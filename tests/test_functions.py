@@ -56,10 +56,14 @@ def test_global_row_number_equals_one_partition(spark, partitions):
     assert [(r["x"], r["id"]) for r in got] == sorted(((r["x"], r["id"]) for r in got), key=lambda p: (-p[0], p[1]))
 
 
-def test_global_row_number_has_no_single_partition_sort(spark):
+def test_global_row_number_has_one_single_partition_over_the_slice_counts(spark):
     df = spark.range(100).select("id")
-    plan = global_row_number(df, [F.col("id")]).drop("rank")._jdf.queryExecution().executedPlan().toString()
+    plan = global_row_number(df, [F.col("id")])._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    lines = plan.splitlines()
+    single = [i for i, line in enumerate(lines) if "SinglePartition" in line]
+    # Below each such exchange the rows are counts per slice already.
+    assert len(single) <= 1 and all(any("Aggregate" in x for x in lines[i + 1:i + 4]) for i in single)
 
 
 def test_histogram_edges(spark):
