@@ -100,3 +100,29 @@ def user_graph(edges: DataFrame) -> DataFrame:
     pair = edges.select(F.least("user_id_a", "user_id_b").alias("user_a"),
                         F.greatest("user_id_a", "user_id_b").alias("user_b"), "business_id")
     return pair.groupBy("user_a", "user_b").agg(F.countDistinct("business_id").alias("weight"))
+
+
+def co_reviewer_graph(reviews: DataFrame, gap_days: int = CO_REVIEW_DAYS) -> DataFrame:
+    """The graph of ``user_graph`` without a list of review pairs; ``reviews`` are those of flagged users.
+
+    Reviews collapse map-side to one row per business, span of ``gap_days`` and
+    user, with the first and the last time and a count. Two users in one span
+    always co-review; in neighbouring spans they do when the later one's first
+    review follows the earlier one's last by less than the gap. A user is linked
+    to itself by two such reviews. So the work grows with users, however many
+    reviews each of them has.
+    """
+    span = gap_days * MICROS_PER_DAY
+    at = wall_micros("date")
+    stays = stored(
+        reviews.select("business_id", "user_id", F.floor(at / span).alias("span"), at.alias("at"))
+        .groupBy("business_id", "span", "user_id")
+        .agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count(F.lit(1)).alias("n")), "stays")
+    late = stays.select("business_id", "span", F.col("user_id").alias("user_2"), F.col("first").alias("first_2"))
+    same = (stays.join(late, ["business_id", "span"])
+            .filter("user_id < user_2 OR (user_id = user_2 AND n > 1)"))
+    following = (stays.withColumn("span", F.col("span") + 1).join(late, ["business_id", "span"])
+                 .filter(F.col("first_2") - F.col("last") < span))
+    met = same.select("business_id", "user_id", "user_2").union(following.select("business_id", "user_id", "user_2"))
+    return (met.groupBy(F.least("user_id", "user_2").alias("user_a"), F.greatest("user_id", "user_2").alias("user_b"))
+            .agg(F.countDistinct("business_id").alias("weight")))

@@ -41,8 +41,9 @@ def analyse(raw_reviews: DataFrame, raw_users: DataFrame, raw_businesses: DataFr
     rating = keep("rating_impact", impact.rating_impact(suspicious, daily))
     keep("volume_impact", impact.volume_impact(suspicious, daily))
 
-    edges = keep("user_similarity_edges", graph.user_similarity_edges(reviews, scores))
-    members = communities.louvain_communities(graph.user_graph(edges))
+    if out_dir:  # the list of review pairs is a result of its own; the graph does not need it
+        keep("user_similarity_edges", graph.user_similarity_edges(reviews, scores))
+    members = communities.louvain_communities(graph.co_reviewer_graph(graph.flagged_reviews(reviews, scores)))
     clusters = keep("user_clusters", communities.user_clusters(members))
 
     cases = authenticity.with_names(authenticity.suspicious_cases(suspicious), tables.business_names(restaurants))

@@ -105,7 +105,7 @@ class Inputs:
         return graph.user_similarity_edges(self.reviews(), self.flags())
 
     def graph(self) -> DataFrame:
-        return graph.user_graph(self.edges())
+        return graph.co_reviewer_graph(graph.flagged_reviews(self.reviews(), self.flags()))
 
     def model_scores(self) -> DataFrame:
         return forest.user_anomaly_scores(self.once("features", self.features))
@@ -523,6 +523,14 @@ def user_cluster_invariants(i):
     return of_members.withColumn("k", F.lit(1)).join(of_clusters.withColumn("k", F.lit(1)), "k").drop("k")
 
 
+@query("user_graph_of_pairs", ["pairs"], """
+    SELECT least(user_id_a, user_id_b) AS user_a, greatest(user_id_a, user_id_b) AS user_b,
+           count(DISTINCT business_id) AS weight FROM pairs GROUP BY 1, 2""")
+def user_graph_of_pairs(i):
+    """The same graph from the list of review pairs."""
+    return graph.user_graph(i.edges())
+
+
 # ---- cases and business scores ------------------------------------------------------------------
 
 @query("suspicious_cases_min_users", ["susbiz"], "SELECT * FROM susbiz WHERE suspicious_user_count >= 2",
