@@ -6,7 +6,7 @@ import argparse
 
 from candor.operators import communities, features, forest, graph, impact, prepare, rules, spikes
 from candor.plans.chain import analyse
-from candor.session import build_session
+from candor.session import build_session, scratch_scope
 from candor.sources import tables
 
 # step -> (input tables, options with defaults, (inputs, options) -> result)
@@ -91,7 +91,9 @@ def run(args: argparse.Namespace, spark) -> None:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    run(args, build_session("candor", args.master))
+    spark = build_session("candor", args.master)
+    with scratch_scope(spark):
+        run(args, spark)
 
 
 if __name__ == "__main__":

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from candor.__main__ import STEPS, parser, run
-from candor.session import scratch_path
+from candor.session import scratch_path, scratch_scope, stored
 from candor.sources import star_views as views
+from candor.sources import tables
 from conftest import SF
 
 
@@ -43,3 +44,14 @@ def test_all_steps_in_order(spark):
     assert rows["suspicious_businesses"] == rows["rating_impact"] == rows["volume_impact"] == 27
     assert rows["user_features"] == rows["rule_based_scores"] > rows["user_anomaly_scores"] > 0
     assert rows["model_comparison"] == 2 and rows["score_metrics"] == 1
+
+
+def test_scratch_goes_with_its_scope_and_settings_stay(spark):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    kept = stored(spark.range(3), "kept")
+    with scratch_scope(spark):
+        inner = scratch_path(spark, "inner")
+        stored(spark.range(5), "inner", inner)
+        assert tables.path_exists(spark, inner)
+    assert not tables.path_exists(spark, inner)
+    assert kept.count() == 3 and spark.conf.get("spark.checkpoint.dir", None) == before
