@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from candor.session import stored
 
 SEED = "mix-1"
-# A share of the corpus, raised to this power and scaled to one, is the target share of a source, language or topic.
-TEMPERATURES = {"source": 0.7, "lang": 0.8, "topic": 0.9}
-TOLERANCE = 1e-9
-MAX_CYCLES = 1000
+TEMPERATURE = 0.9          # below one, small sources, languages and topics get more than their share
+TOLERANCE = 1e-11
+MAX_CYCLES = 500
 MARGINS = ("source", "lang", "topic")
 WORD = r"[^\x20\x09-\x0D]+"
 # Topics by the first pattern found in the text, in this order; none found: prose.
@@ -47,58 +46,47 @@ def profile(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", *_profile_columns(docs))
 
 
-def targets(cells: DataFrame, temperatures: dict[str, float] = TEMPERATURES) -> dict[str, DataFrame]:
-    """Target share per level of each margin, from the shares at hand and a temperature."""
-    out = {}
-    for m in MARGINS:
-        sums = stored(cells.groupBy(m).agg(F.pow(F.sum("tokens").cast("double"), F.lit(temperatures[m])).alias("raised")), m)
-        whole = sums.agg(F.sum("raised")).first()[0] or 1.0
-        out[m] = stored(sums.select(m, (F.col("raised") / whole).alias("target")), f"{m}-target")
-    return out
+def targets(cells: DataFrame, temperature: float = TEMPERATURE) -> dict[str, DataFrame]:
+    """Target share per level of each margin: the margins of the table whose cells are raised to ``temperature``.
+
+    That table has the same cells, so the targets can always be met together,
+    also where a source has one language only.
+    """
+    raised = stored(cells.select(*MARGINS, F.pow(F.col("tokens").cast("double"), F.lit(temperature)).alias("raised")), "raised")
+    whole = raised.agg(F.sum("raised")).first()[0]
+    return {m: stored(raised.groupBy(m).agg((F.sum("raised") / whole).alias("target")), f"{m}-target") for m in MARGINS}
 
 
 def rake(cells: DataFrame, wanted: dict[str, DataFrame], tolerance: float = TOLERANCE,
          max_cycles: int = MAX_CYCLES) -> DataFrame:
-    """``source, lang, topic, weight``: one factor per token of each cell, so that all margins meet their targets.
-
-    ``cells(source, lang, topic, tokens)`` are totals with tokens above zero. The
-    state is one factor per level of each margin. A step multiplies a cell's
-    tokens by the factors of the other two margins, sums them by the levels of
-    its own (partial sums first), and sets target over sum as the new factor; the
-    small factor tables are stored, so a step never repeats an earlier one. It
-    ends when a whole cycle changes no factor by more than ``tolerance``;
-    targets that cannot be met together raise after ``max_cycles``. Levels
-    without tokens have no cells and take no part. The mean weight per token
-    is one, since the targets of each margin are shares of all tokens.
+    """``source, lang, topic, weight``: a weight per token of each cell, so that all margins meet their targets.
+
+    ``cells(source, lang, topic, tokens)`` are totals with tokens above zero.
+    For one margin after the other the cells are summed by its levels (partial
+    sums first) and scaled to the target. One job does a cycle over all margins:
+    the sums are small and their shuffles are used again within the job, and the
+    stored result starts the next cycle. It ends when no scaling in a cycle is
+    further than ``tolerance`` from one; targets that cannot be met together
+    raise after ``max_cycles``. Levels without tokens have no cells and take no
+    part. The mean weight of a token is one.
     """
     whole = cells.agg(F.sum("tokens")).first()[0]
-    factors = {m: stored(wanted[m].select(m, F.lit(1.0).alias(f"f_{m}")), f"{m}-factors") for m in MARGINS}
+    state = cells.withColumn("mass", F.col("tokens").cast("double"))
+    for m in MARGINS:
+        state = state.join(wanted[m].select(m, (F.col("target") * whole).alias(f"want_{m}")), m)
+    state = stored(state.withColumn("moved", F.lit(0.0)), "raking")
     for _ in range(max_cycles):
-        largest = 0.0
+        step = state.withColumn("moved", F.lit(0.0))
         for m in MARGINS:
-            joined = cells
-            for other in MARGINS:
-                if other != m:
-                    joined = joined.join(factors[other], other)
-            f_others = F.lit(1.0)
-            for other in MARGINS:
-                if other != m:
-                    f_others = f_others * F.col(f"f_{other}")
-            sums = joined.groupBy(m).agg(F.sum(F.col("tokens") * f_others).alias("sum"))
-            step = (sums.join(wanted[m], m).join(factors[m].withColumnRenamed(f"f_{m}", "old"), m)
-                    .select(m, (F.col("target") * whole / F.col("sum")).alias(f"f_{m}"), "old"))
-            step = stored(step, f"{m}-factors")
-            change = step.agg(F.max(F.abs(F.col(f"f_{m}") / F.col("old") - 1))).first()[0]
-            largest = max(largest, change or 0.0)
-            factors[m] = step.select(m, f"f_{m}")
-        if largest <= tolerance:
-            break
-    else:
-        raise RuntimeError("the marginals cannot be met together")
-    out, weight = cells, F.lit(1.0)
-    for m in MARGINS:
-        out, weight = out.join(factors[m], m), weight * F.col(f"f_{m}")
-    return out.select(*MARGINS, weight.alias("weight"))
+            sums = step.groupBy(m).agg(F.sum("mass").alias("sum"))
+            ratio = F.col(f"want_{m}") / F.col("sum")
+            step = step.join(sums, m).select(
+                *MARGINS, "tokens", *[f"want_{x}" for x in MARGINS], (F.col("mass") * ratio).alias("mass"),
+                F.greatest("moved", F.abs(ratio - 1)).alias("moved"))
+        state = stored(step, "raking")
+        if state.agg(F.max("moved")).first()[0] <= tolerance:
+            return state.select(*MARGINS, (F.col("mass") / F.col("tokens")).alias("weight"))
+    raise RuntimeError("the marginals cannot be met together")
 
 
 def roll(doc_id: Column, seed: str = SEED) -> Column:
@@ -107,12 +95,12 @@ def roll(doc_id: Column, seed: str = SEED) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def _calibrated(own: DataFrame, temperatures: dict[str, float], tolerance: float) -> tuple[DataFrame, float]:
+def _calibrated(own: DataFrame, temperature: float, tolerance: float) -> tuple[DataFrame, float]:
     """The weight of every cell of a profile, and the largest weight."""
     cells = stored(own.where("tokens > 0").groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "cells")
     if cells.isEmpty():
         return cells.select(*MARGINS, F.lit(1.0).alias("weight")), 1.0
-    raked = stored(rake(cells, targets(cells, temperatures), tolerance), "raked")
+    raked = stored(rake(cells, targets(cells, temperature), tolerance), "raked")
     return raked, raked.agg(F.max("weight")).first()[0]
 
 
@@ -126,7 +114,7 @@ def _judged(own: DataFrame, raked: DataFrame, top: float, seed: str) -> DataFram
             .withColumn("kept", roll(F.col("doc_id"), seed) < F.col("probability")))
 
 
-def mixture(docs: DataFrame, temperatures: dict[str, float] = TEMPERATURES, seed: str = SEED,
+def mixture(docs: DataFrame, temperature: float = TEMPERATURE, seed: str = SEED,
             tolerance: float = TOLERANCE) -> DataFrame:
     """One row per document: ``doc_id, source, lang, topic, tokens, weight, probability, kept``.
 
@@ -139,18 +127,18 @@ def mixture(docs: DataFrame, temperatures: dict[str, float] = TEMPERATURES, seed
     Other columns are not read; an empty table gives an empty table.
     """
     own = stored(profile(docs), "profile")
-    raked, top = _calibrated(own, temperatures, tolerance)
+    raked, top = _calibrated(own, temperature, tolerance)
     return _judged(own, raked, top, seed).select("doc_id", *MARGINS, "tokens", "weight", "probability", "kept")
 
 
-def sampled(docs: DataFrame, temperatures: dict[str, float] = TEMPERATURES, seed: str = SEED,
+def sampled(docs: DataFrame, temperature: float = TEMPERATURE, seed: str = SEED,
             tolerance: float = TOLERANCE) -> DataFrame:
     """The documents that the mixture keeps, with their columns as they are, whatever their names.
 
     Weights come from the whole table; each row is then judged where it lies, so
     no text moves.
     """
-    raked, top = _calibrated(profile(docs), temperatures, tolerance)
+    raked, top = _calibrated(profile(docs), temperature, tolerance)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     own = rows.select("row", F.col("row.doc_id").alias("doc_id"), *_profile_columns(rows.row))
     return _judged(own, raked, top, seed).where("kept").select("row.*")

@@ -29,7 +29,7 @@ def test_predictions_see_the_text_alone(spark):
 def test_odd_texts_and_tables(spark, make):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     odd = make([None, "", "123 !?", "ö", "the " * 100_000], lang=["en", None, "fr", None, None])
-    shifted = odd.withColumn("doc_id", odd.doc_id + 100_000).withColumn("rejected", odd.doc_id)
+    shifted = odd.selectExpr("doc_id + 100000 AS doc_id", "text", "lang", "source", "n_chars", "doc_id AS rejected")
     both = docs.withColumn("rejected", docs.doc_id).unionByName(shifted)
     rows = {r.doc_id: r for r in compress_lang.languages(both.union(shifted)).collect() if r.doc_id >= 100_000}
     assert [rows[100_000 + i].lang_pred for i in range(3)] == ["und"] * 3
