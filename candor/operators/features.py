@@ -9,6 +9,7 @@ from candor.functions.ranking import sequence_within
 from candor.functions.scalars import friend_count, ratio
 from candor.operators.prepare import with_signup
 from candor.schemas import FEATURE_COLUMNS, SIGNUP_COLUMN
+from candor.session import stored
 
 
 def user_review_sequence(reviews: DataFrame, hot_rows: int = 5_000_000) -> DataFrame:
@@ -20,14 +21,15 @@ def user_review_sequence(reviews: DataFrame, hot_rows: int = 5_000_000) -> DataF
 def review_features(reviews: DataFrame, users: DataFrame, hot_rows: int = 5_000_000) -> DataFrame:
     """Length, hour, weekday (Sunday = 1), days since sign-up and sequence of every review.
 
-    Text is reduced to its length before anything is shuffled.
+    Text is reduced to its length before anything is shuffled, and the narrow
+    rows are stored, since they are counted by user before they are numbered.
     """
-    narrow = reviews.select(
+    narrow = stored(reviews.select(
         "review_id", "business_id", "user_id", "date", "review_year", "stars",
         F.length("text").alias("review_length"),
         F.hour("date").alias("review_hour"),
         F.dayofweek("date").alias("day_of_week"),
-    )
+    ), "narrow-reviews")
     numbered = user_review_sequence(narrow, hot_rows)
     return with_signup(numbered, users).select(
         "review_id", "business_id", "user_id", "date", "review_year", "stars",

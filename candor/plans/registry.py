@@ -299,6 +299,15 @@ def user_review_sequence(i):
     return features.user_review_sequence(i.reviews().select("review_id", "user_id", "date"))
 
 
+@query("user_review_sequence_split", ["rr"], """
+    SELECT review_id, user_id, date, row_number() OVER (PARTITION BY user_id ORDER BY date NULLS LAST,
+           review_id NULLS LAST) AS user_review_sequence FROM rr""")
+def user_review_sequence_split(i):
+    """The same numbers with every user of more than 30 reviews numbered by the range sort."""
+    narrow = stored(i.reviews().select("review_id", "user_id", "date"), "narrow-reviews")
+    return features.user_review_sequence(narrow, hot_rows=30)
+
+
 @query("review_features", ["rr", "users_b"], f"""
     SELECT review_id, business_id, rr.user_id, date, review_year, stars, CAST(length(text) AS INTEGER) AS review_length,
            CAST(hour(date) AS INTEGER) AS review_hour, CAST(dayofweek(date) + 1 AS INTEGER) AS day_of_week,
@@ -475,6 +484,13 @@ def co_review_pairs(i):
     return graph.co_review_pairs(flagged)
 
 
+@query("co_review_pairs_in_cells", ["pairs"], "SELECT * FROM pairs")
+def co_review_pairs_in_cells(i):
+    """The same pairs with every span of more than four reviews laid out in cells."""
+    flagged = i.once("flagged", lambda: graph.flagged_reviews(i.reviews(), i.flags()))
+    return graph.co_review_pairs(flagged, cell_rows=4)
+
+
 @query("user_similarity_edges", ["pairs"], "SELECT user_id_a, user_id_b, business_id, time_diff_days FROM pairs")
 def user_similarity_edges(i):
     return i.edges()
