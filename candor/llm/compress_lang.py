@@ -41,20 +41,25 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     """A dictionary of raw content per language, from the folds that are not held out.
 
     Of each language the documents with the smallest hash are taken, at most
-    ``SAMPLE_DOCS`` of them; the ranking keeps as few from every task, so a
-    dominant language moves no more rows than another. At most
+    ``SAMPLE_DOCS`` of them. Hashes above four times the share that this takes
+    are passed over before the ranking, so a language moves about as many rows
+    at every size and from any number of tasks. At most
     ``MAX_LANGUAGES`` * ``SAMPLE_DOCS`` * ``SAMPLE_CHARS[1]`` characters reach
     the driver; more languages than that raise. Documents without a language, a
     text or an id are not learned from.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id"), F.lit(5)), "doc_id")
-    chosen = (docs.where(docs.lang.isNotNull() & docs.text.isNotNull() & docs.doc_id.isNotNull()
-                         & (fold(docs.doc_id) != HELD_OUT) & F.length(docs.text).between(*SAMPLE_CHARS))
-              .select("lang", "doc_id", "text").withColumn("rank", F.row_number().over(order))
-              .where(F.col("rank") <= SAMPLE_DOCS))
-    found = [r.lang for r in chosen.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
-    if len(found) > MAX_LANGUAGES:
+    roll = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(5)), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    able = docs.where(docs.lang.isNotNull() & docs.text.isNotNull() & docs.doc_id.isNotNull()
+                      & (fold(docs.doc_id) != HELD_OUT) & F.length(docs.text).between(*SAMPLE_CHARS)).select("lang", "doc_id", "text")
+    counts = {r.lang: r["count"] for r in able.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
+    if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    likely = F.lit(False)
+    for lang, n in counts.items():
+        likely = likely | ((F.col("lang") == lang) & (F.col("roll") < min(1.0, 4 * SAMPLE_DOCS / n)))
+    order = Window.partitionBy("lang").orderBy("roll", "doc_id")
+    chosen = (able.withColumn("roll", roll).where(likely).withColumn("rank", F.row_number().over(order))
+              .where(F.col("rank") <= SAMPLE_DOCS))
     parts: dict[str, list[str]] = {}
     for r in chosen.select("lang", "rank", "text").collect():
         parts.setdefault(r.lang, []).append((r.rank, _letters(r.text)))
