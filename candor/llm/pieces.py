@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
@@ -18,8 +19,10 @@ SEED = "pieces-1"
 ALPHA = 1.0                # power of the piece probabilities; smaller values sample more freely
 SPACE = "▁"           # how the vocabulary writes a blank
 _OFFSET = 2.7              # of the rank in Zipf's law
-_FLUSH = 400_000           # chunks filtered and sampled at once
-_TABLE_ARCS = 6_000_000    # the table of seen chunks starts anew beyond this size
+_FLUSH = 200_000           # chunks sampled at once
+_TABLE_ARCS = 3_000_000    # the table of seen chunks starts anew beyond this size
+_LEARN = 20_000            # new chunks filtered side by side
+_PART_ROWS, _PART_BYTES = 1024, 4_000_000  # rows and text taken from a batch at once
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -29,7 +32,27 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Lattice:
+class Vocabulary:
+    """Pieces by number, and what each stands for in bytes."""
+
+    def __init__(self, model: bytes):
+        self.sp = sentencepiece.SentencePieceProcessor()
+        self.sp.LoadFromSerializedProto(model)
+        self.raw: list[bytes] = [b""] * self.sp.piece_size()
+        self.usable = [not (self.sp.is_control(i) or self.sp.is_unknown(i) or self.sp.is_unused(i)) for i in range(len(self.raw))]
+        for i in range(len(self.raw)):
+            text = self.sp.id_to_piece(i)
+            if self.sp.is_byte(i):
+                self.raw[i] = bytes([int(text[3:5], 16)])
+            elif self.usable[i]:
+                self.raw[i] = text.replace(SPACE, " ").encode()
+
+    def decode(self, ids) -> str:
+        raw = self.raw
+        return b"".join([raw[i] for i in ids]).decode()[1:]
+
+
+class Lattice(Vocabulary):
     """The piece lattice of a vocabulary.
 
     The public vocabulary file gives merge ranks, no probabilities; a piece of
@@ -43,24 +66,19 @@ class Lattice:
     """
 
     def __init__(self, model: bytes, alpha: float = ALPHA):
-        sp = sentencepiece.SentencePieceProcessor()
-        sp.LoadFromSerializedProto(model)
-        size = sp.piece_size()
+        super().__init__(model)
+        sp, size = self.sp, len(self.raw)
         ranks = np.array([min(-sp.get_score(i), float(size)) for i in range(size)])
-        usable = np.array([not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)) for i in range(size)])
+        usable = np.array(self.usable)
         mass = np.where(usable, 1.0 / (np.maximum(ranks, 0) + _OFFSET), 0.0)
         least = mass[usable].min()
         self.byte_ids = [0] * 256
         self.pieces: dict[str, int] = {}
-        self.raw: list[bytes] = [b""] * size
         for i in range(size):
-            text = sp.id_to_piece(i)
             if sp.is_byte(i):
-                value = int(text[3:5], 16)
-                self.byte_ids[value], self.raw[i], mass[i] = i, bytes([value]), least
+                self.byte_ids[self.raw[i][0]], mass[i] = i, least
             elif usable[i]:
-                self.pieces[text] = i
-                self.raw[i] = text.replace(SPACE, " ").encode()
+                self.pieces[sp.id_to_piece(i)] = i
         self.weight = ((mass / mass.sum()) ** alpha).tolist()
         self.byte_weight = self.weight[self.byte_ids[0]]
         self.longest = max(map(len, self.pieces))
@@ -95,7 +113,7 @@ class Lattice:
         self.states = 0
         # Of an arc: state + cumulative chance within it, rising over the whole table; the state it
         # comes from, -1 for the chunk's start; its piece, below -1 a character in bytes as -2 - code point.
-        self.cum, self.prev, self.piece = np.empty(0), np.empty(0, np.int64), np.empty(0, np.int32)
+        self.cum, self.prev, self.piece = np.empty(0), np.empty(0, np.int32), np.empty(0, np.int32)
 
     def _arcs(self, codes: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Start, end, piece and weight of every arc of chunks laid end to end; ``stop`` is where a place's chunk ends."""
@@ -162,7 +180,7 @@ class Lattice:
         upto[np.append(group[1:], len(end)) - 1] = 1.0
         base = self.states
         self.cum = np.concatenate((self.cum, base + end - 1 + np.minimum(upto, 1.0)))
-        self.prev = np.concatenate((self.prev, np.where(start > first[end - 1], base + start - 1, -1)))
+        self.prev = np.concatenate((self.prev, np.where(start > first[end - 1], base + start - 1, -1).astype(np.int32)))
         self.piece = np.concatenate((self.piece, piece))
         self.known.update(zip(chunks, (base + stops - 1).tolist(), strict=True))
         self.states += len(codes)
@@ -238,8 +256,8 @@ class Lattice:
     def _flush(self, chunks: list[str], seeds: list, rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         known = self.known
         new = [c for c in dict.fromkeys(chunks) if c not in known]
-        if new:
-            self.learn(new)
+        for at in range(0, len(new), _LEARN):
+            self.learn(new[at:at + _LEARN])
         ends = np.fromiter(map(known.__getitem__, chunks), dtype=np.int64, count=len(chunks))
         counts, ids = self.sample(ends, np.concatenate(seeds))
         if len(ids) and ids.min() < -1:
@@ -250,60 +268,85 @@ class Lattice:
             self._clear()
         return np.array([r for r, _ in rows]), per_row, ids
 
-    def decode(self, ids) -> str:
-        raw = self.raw
-        return b"".join([raw[i] for i in ids]).decode()[1:]
-
 
-@functools.lru_cache(maxsize=4)
+@functools.lru_cache(maxsize=2)
 def _lattice(model: bytes, alpha: float) -> Lattice:
-    """One per Python worker: its table of seen chunks serves all tasks that the worker runs."""
+    """One per Python worker, for all tasks that it runs; a task's table of seen chunks ends with it."""
     return Lattice(model, alpha)
 
 
+@functools.lru_cache(maxsize=2)
+def _vocabulary(model: bytes) -> Vocabulary:
+    return Vocabulary(model)
+
+
+def _parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in parts of bounded text (or a single row)."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > start and (held + size > _PART_BYTES or i - start >= _PART_ROWS):
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if batch.num_rows:
+        yield batch.slice(start)
+
+
 def _model(path: str) -> bytes:
     with open(path, "rb") as file:
         return file.read()
 
 
+def _decoded(vocabulary: Vocabulary, lists: pa.ListArray) -> pa.StringArray:
+    return pa.array([vocabulary.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in lists], type=pa.string())
+
+
 def _with_column(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([f for f in schema.fields if f.name != name] + [T.StructField(name, kind)])
 
 
-def encode(docs: DataFrame, model_path: str = MODEL, alpha: float = ALPHA, seed: str = SEED) -> DataFrame:
+def encode(docs: DataFrame, model_path: str = MODEL, alpha: float = ALPHA, seed: str = SEED,
+           decoded: str | None = None) -> DataFrame:
     """Adds ``pieces``, a sampled segmentation of each whole text, seeded by doc_id.
 
+    With ``decoded`` the pieces are also decoded in the same pass, into a column of that name.
+
     The same id, text, seed and alpha give the same pieces, however rows are
     batched or dealt. A null text has null pieces; an empty text has the pieces
     of the blank that every text is given in front. A column that is already
-    called ``pieces`` is replaced. The vocabulary file is read once by the
+    called ``pieces`` (or as ``decoded`` says) is replaced. The vocabulary file is read once by the
     driver and sent along (half a megabyte).
     """
     model = _model(model_path)
+    added = ["pieces", decoded] if decoded else ["pieces"]
     schema = _with_column(docs.schema, "pieces", T.ArrayType(T.IntegerType()))
-    kept = [f.name for f in schema.fields[:-1]]
+    if decoded:
+        schema = _with_column(schema, decoded, T.StringType())
+    kept = [f.name for f in schema.fields if f.name not in added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = _lattice(model, alpha)
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            ids = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
-            sizes, parts, done = np.zeros(len(texts), dtype=np.int64), [], 0
-            for rows, counts, pieces in lattice.encode_many(texts, [f"{seed}:{i}" for i in ids]):
-                np.add.at(sizes, rows, counts)
-                parts.append(pieces)
-                # Rows before the slice's last one are whole.
-                if sum(map(len, parts)) > 4 * _FLUSH and rows[-1] > done:
-                    yield emit(batch, texts, sizes, np.concatenate(parts), done, int(rows[-1]))
-                    parts, done = [np.concatenate(parts)[int(sizes[done:rows[-1]].sum()):]], int(rows[-1])
-            yield emit(batch, texts, sizes, np.concatenate([np.empty(0, np.int32), *parts]), done, len(texts))
-
-    def emit(batch, texts, sizes, pieces, start, stop) -> pa.RecordBatch:
-        offsets = np.concatenate(([0], np.cumsum(sizes[start:stop]))).astype(np.int32)
-        mask = pa.array([t is None for t in texts[start:stop]], type=pa.bool_())
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(pieces[:offsets[-1]], type=pa.int32()), mask=mask)
-        part = batch.slice(start, stop - start)
-        return pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(c)) for c in kept], lists], [*kept, "pieces"])
+        try:
+            for batch in batches:
+                for part in _parts(batch, "text"):
+                    yield encoded(lattice, part)
+        finally:
+            lattice._clear()
+
+    def encoded(lattice: Lattice, part: pa.RecordBatch) -> pa.RecordBatch:
+        texts, ids = (part.column(part.schema.get_field_index(c)).to_pylist() for c in ("text", "doc_id"))
+        sizes, found = np.zeros(len(texts), dtype=np.int64), [np.empty(0, np.int32)]
+        for rows, counts, new in lattice.encode_many(texts, [f"{seed}:{i}" for i in ids]):
+            np.add.at(sizes, rows, counts)
+            found.append(new)
+        offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
+        mask = pa.array([t is None for t in texts], type=pa.bool_())
+        lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found)), mask=mask)
+        new = [lists]
+        if decoded:
+            new.append(_decoded(lattice, lists))
+        return pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(c)) for c in kept], *new], [*kept, *added])
 
     return docs.mapInArrow(run, schema)
 
@@ -315,13 +358,12 @@ def decode(encoded: DataFrame, model_path: str = MODEL, out: str = "decoded") ->
     kept = [f.name for f in schema.fields[:-1]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = _lattice(model, ALPHA)
+        vocabulary = _vocabulary(model)
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index("pieces"))
             for start in range(0, batch.num_rows, 256):
                 part, own = batch.slice(start, 256), lists.slice(start, 256)
-                texts = [lattice.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in own]
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(part.schema.get_field_index(c)) for c in kept], pa.array(texts, type=pa.string())], [*kept, out])
+                    [*[part.column(part.schema.get_field_index(c)) for c in kept], _decoded(vocabulary, own)], [*kept, out])
 
     return encoded.mapInArrow(run, schema)

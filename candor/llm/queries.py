@@ -55,7 +55,7 @@ def op5_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoded and decoded again: counts and digests of the pieces, and whether the text came back whole."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = pieces.decode(pieces.encode(docs))
+    back = pieces.encode(docs, decoded="decoded")
     return back.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.size("pieces").cast("long").alias("n_pieces"),
         F.xxhash64("pieces").alias("pieces_hash"), F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -25,7 +25,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with a sampled segmentation of its text, and the text that it decodes to."""
-    return pieces.decode(pieces.encode(docs))
+    return pieces.encode(docs, decoded="decoded")
 
 
 STAGES = [("language", known_language), ("near copies", without_near_copies), ("mixture", mixed), ("pieces", as_pieces)]
