@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RADIUS, SIGMA = 2, 1.0    # of the smoothing over neighbouring text nodes
-THRESHOLD = 0.5           # in standard deviations of the fused ratio
-COVER = 0.9               # share of the selected text that the content element has to hold
-LINK_SHARE = 0.5          # above it a block outside an article is a list of links
+THRESHOLD = 0.7           # share of the page's level, the mean logarithm of the fused ratio over its letters
+PROSE = 160               # fused ratio (a sentence of 80 letters and its stop) that is selected beside blocks of any length
+LINK_SHARE = 0.5          # above it a block outside the selected paths is a list of links
 
 # Element names by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -27,7 +27,8 @@ UNSEEN = frozenset("script style noscript template svg math iframe object applet
 MARGIN = frozenset("nav aside footer form dialog menu fieldset search".split())
 ARTICLE = frozenset("article main".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
-STRUCTURE = HEADING | frozenset("li dt dd td th caption blockquote pre figcaption".split())
+STRUCTURE = HEADING | frozenset("li dt dd td th caption blockquote pre figcaption p".split())
+WRAPPER = frozenset("ul ol dl li dt dd table thead tbody tfoot tr td th caption blockquote figure figcaption".split())
 # An element of the first list ends open elements of the second, up to a border of the third.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -53,8 +54,10 @@ _KERNEL = [math.exp(-(d * d) / (2 * SIGMA * SIGMA)) for d in range(RADIUS + 1)]
 class _Element:
     __slots__ = ("tag", "parent", "path", "depth", "out", "article", "held")
 
-    def __init__(self, tag: str, parent, path: int, depth: int, out: bool, article: bool):
-        self.tag, self.parent, self.path, self.depth, self.out, self.article = tag, parent, path, depth, out, article
+    def __init__(self, tag: str, parent, path: int, depth: int, out: bool):
+        self.tag, self.parent, self.path, self.depth, self.out = tag, parent, path, depth, out
+        own = tag in ARTICLE and not out
+        self.article = self if own else parent.article if parent is not None else None
         self.held = 0
 
 
@@ -64,7 +67,7 @@ class _Blocks(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.paths: dict[tuple[int, str], int] = {}
-        self.open = [_Element("", None, 0, 0, False, False)]
+        self.open = [_Element("", None, 0, 0, False)]
         self.elements = list(self.open)
         self.counts: Counter[str] = Counter()
         self.blocks: list[tuple[_Element, str, int]] = []
@@ -127,7 +130,7 @@ class _Blocks(HTMLParser):
         above = self.open[-1]
         path = self.paths.setdefault((above.path, tag), len(self.paths) + 1)
         out = above.out or self._margin(tag, attrs, above)
-        self.open.append(_Element(tag, above, path, above.depth + 1, out, above.article or (tag in ARTICLE and not out)))
+        self.open.append(_Element(tag, above, path, above.depth + 1, out))
         self.elements.append(self.open[-1])
         self.counts[tag] += 1
 
@@ -162,7 +165,7 @@ class _Blocks(HTMLParser):
 
 
 def _selected(blocks: list[tuple[_Element, str, int]]) -> set[int]:
-    """The content paths: length and punctuation per path, smoothed over the page, fused, and cut at a threshold."""
+    """The content paths: length and punctuation per path, smoothed over neighbours, fused, and cut on a scale of logarithms."""
     totals: dict[int, list[float]] = {}
     for e, text, linked in blocks:
         t = totals.setdefault(e.path, [0, 0, 0])
@@ -175,16 +178,46 @@ def _selected(blocks: list[tuple[_Element, str, int]]) -> set[int]:
         smooth = []
         for i in range(len(ratio)):
             low, high = max(0, i - RADIUS), min(len(ratio), i + RADIUS + 1)
-            weights = [_KERNEL[abs(i - j)] for j in range(low, high)]
-            smooth.append(sum(w * x for w, x in zip(weights, ratio[low:high], strict=True)) / sum(weights))
+            near = [j for j in range(low, high) if blocks[j][0].article is blocks[i][0].article]
+            weights = [_KERNEL[abs(i - j)] for j in near]
+            smooth.append(sum(w * ratio[j] for w, j in zip(weights, near, strict=True)) / sum(weights))
         series.append(smooth)
-    fused = [x * (1 + y) for x, y in zip(*series, strict=True)]
-    mean = sum(fused) / len(fused)
-    cut = THRESHOLD * math.sqrt(sum((z - mean) ** 2 for z in fused) / len(fused))
+    # Logarithms: the fused ratio grows with the square of a block's length, and one long block must not set the scale.
+    # A path's own ratio counts as much as the smoothed one, so that a lone label is not lifted by the text beside it.
+    own = {p: math.log1p(t[1] / t[0] * (1 + t[2] / t[0])) for p, t in totals.items()}
+    fused = [(math.log1p(x * (1 + y)) + own[e.path]) / 2 for x, y, (e, _, _) in zip(*series, blocks, strict=True)]
+    letters = [len(text) - linked for _, text, linked in blocks]
+    level = sum(n * z for n, z in zip(letters, fused, strict=True)) / max(1, sum(letters))
+    cut = min(THRESHOLD * level, math.log1p(PROSE))
     by_path: dict[int, list[float]] = {}
     for (e, _, _), z in zip(blocks, fused, strict=True):
         by_path.setdefault(e.path, []).append(z)
-    return {p for p, zs in by_path.items() if sum(zs) / len(zs) >= cut}
+    means = {p: sum(zs) / len(zs) for p, zs in by_path.items()}
+    cut = min(cut, max(means.values()))
+    return {p for p, z in means.items() if z >= cut}
+
+
+def _flow(e: _Element) -> _Element:
+    """The element whose running text a block belongs to: lists, tables, quotes and figures are part of it."""
+    if e.tag in STRUCTURE:
+        e = e.parent
+    while e.tag in WRAPPER:
+        e = e.parent
+    return e
+
+
+def _with_sections(blocks: list[tuple[_Element, str, int]], kept: list[bool]) -> list[bool]:
+    """Headings stay or go with their section: the blocks up to the next heading of their rank or above."""
+    kept, alive = list(kept), [False] * 7
+    for i in reversed(range(len(blocks))):
+        tag = blocks[i][0].tag
+        if tag in HEADING:
+            rank = int(tag[1])
+            kept[i] = kept[i] and alive[rank]
+            alive[rank:] = [False] * (7 - rank)
+        elif kept[i]:
+            alive = [True] * 7
+    return kept
 
 
 def main_text(html: str | None) -> str:
@@ -202,18 +235,32 @@ def main_text(html: str | None) -> str:
     if named and (not chosen or any(e.article for e, _, _ in chosen)):
         # The page names its article: everything in it that is not marked otherwise belongs to it.
         return " ".join(named)
-    for e, text, _ in chosen:
-        e.held += len(text)
+    for e, _, _ in chosen:
+        e.held += 1
     for e in reversed(parser.elements[1:]):
         e.parent.held += e.held
-    enough = COVER * parser.elements[0].held
-    content = max((e for e in parser.elements if e.held >= enough), key=lambda e: e.depth)
-    inside = set()
+    content = scope = max((e for e in parser.elements if e.held == len(chosen)), key=lambda e: e.depth)
+    above = content
+    while above is not None:
+        scope = above if above.tag in ARTICLE and not above.out else scope
+        above = above.parent
+    inside, titled = set(), set()
     for e in parser.elements:
         if e is content or e.parent in inside:
             inside.add(e)
-    return " ".join(t for e, t, linked in blocks if e in inside and (
-        e.path in paths or (e.tag in STRUCTURE and linked <= LINK_SHARE * len(t))))
+        if e is scope or e.parent in titled:
+            titled.add(e)
+    flows = {_flow(e) for e, _, _ in chosen}
+    kept = []
+    for e, text, linked in blocks:
+        if e.tag in HEADING:
+            kept.append(e.path in paths or (e in titled and (e.article is None or e.article.held > 0)))
+        else:
+            kept.append(e.path in paths or (
+                e in inside and e.tag in STRUCTURE and _flow(e) in flows and linked <= LINK_SHARE * len(text)))
+    if any(k and b[0].tag not in HEADING for k, b in zip(kept, blocks, strict=True)):
+        kept = _with_sections(blocks, kept)
+    return " ".join(t for (_, t, _), k in zip(blocks, kept, strict=True) if k)
 
 
 @F.pandas_udf(T.StringType())
@@ -232,10 +279,14 @@ def page_texts(pages: DataFrame) -> DataFrame:
     A page falls into blocks at block elements; unclosed and misnested tags are
     ended as browsers end them. Each block counts for its path of block elements
     from the root (inline elements are no part of it). Paths are scored by text
-    outside links and by punctuation per block, smoothed over neighbouring blocks,
-    multiplied, and kept above half a standard deviation. The deepest element
-    around nine tenths of the selected text is the article, or the elements that
-    the page itself calls so. Menus, headers, footers, sidebars, notices, adverts,
+    outside links and by punctuation per block, smoothed over neighbouring blocks
+    of the same article, and multiplied. A path is selected by the logarithm of
+    that, meant with the unsmoothed one: at least ``THRESHOLD`` of the mean over the page's letters, or as much as
+    a sentence has. If any lies in an ``article`` or ``main``,
+    those elements are the text. Else, within the smallest element around all selected blocks,
+    paragraphs, list items, cells and quotes that run in the same element as
+    selected text stay whatever their ratio, unless they are links by half.
+    Headings stay or go with their section. Menus, headers, footers, sidebars, notices, adverts,
     forms and comments, told by element, role, class or id, scripts, styles and
     hidden elements never count. Character references are decoded; white space in
     a block, whatever its kind, becomes one blank. Null or empty html, or a page

@@ -51,3 +51,27 @@ def test_rows(spark):
     rows = {(r.page_id, r.url, r.text, r.n_chars) for r in page_texts(df).collect()}
     assert rows == {(1, None, "", 0), (1, "u", "\U0001f600 b", 3), (None, "u", "a", 1)}
     assert page_texts(df.limit(0)).collect() == []
+
+
+def test_one_long_block_does_not_hide_the_paragraphs():
+    def words(n, word="some"):
+        return (f"{word} words here, and more of them. " * (n // 30 + 1))[:n].strip()
+
+    def body(inner):
+        return f"<body><nav><a href=/>Home</a></nav><div><div>{inner}</div></div></body>"
+
+    many = "".join(f"<p>{words(200, f'p{i}')}</p>" for i in range(12))
+    for short, long in ((many, f"<blockquote><p>{words(3000)}</p></blockquote>"), (many, f"<pre>{words(20_000)}</pre>"),
+                        ("".join(f"<p>{words(150, f'q{i}')}</p>" for i in range(10)),
+                         f"<section><p>{words(1500)}</p></section>" * 30), (many, f"<div>{words(1_000_000)}</div>")):
+        for html in (body(short + long), body(long + short)):
+            got = main_text(html)
+            assert all(f"{t} words here" in got for t in re.findall(r"<p>([pq]\d+) ", short))
+            assert len(got) > len(re.sub("<[^>]*>", "", short + long)) - 5
+
+
+def test_all_selected_text_is_in_the_element_around_it():
+    near = "<p>A paragraph, long enough to count; with stops, too. It goes on, and on, for a while.</p>"
+    html = f"<body><div><div>{near * 30}</div><section><p>The last part, that stands apart; it has stops, and text enough, too. "
+    assert main_text(html + "It goes on, and on, for a while.</p></section></div>").endswith("and on, for a while.")
+    assert "The last part" in main_text(html + "It goes on, and on, for a while.</p></section></div>")
