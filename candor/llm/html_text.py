@@ -128,7 +128,9 @@ class _Blocks(HTMLParser):
             else:
                 break
         above = self.open[-1]
-        path = self.paths.setdefault((above.path, tag), len(self.paths) + 1)
+        # Every article has paths of its own, so that a teaser is not judged by the article beside it.
+        step = f"{tag} {len(self.elements)}" if tag in ARTICLE else tag
+        path = self.paths.setdefault((above.path, step), len(self.paths) + 1)
         out = above.out or self._margin(tag, attrs, above)
         self.open.append(_Element(tag, above, path, above.depth + 1, out))
         self.elements.append(self.open[-1])
@@ -231,10 +233,11 @@ def main_text(html: str | None) -> str:
         return ""
     paths = _selected(blocks)
     chosen = [b for b in blocks if b[0].path in paths]
-    named = [t for e, t, _ in blocks if e.article]
-    if named and (not chosen or any(e.article for e, _, _ in chosen)):
-        # The page names its article: everything in it that is not marked otherwise belongs to it.
-        return " ".join(named)
+    named = sum(len(t) for e, t, _ in chosen if e.article)
+    if 2 * named >= sum(len(t) for _, t, _ in chosen):
+        # The page names its article: the rest of the page is no candidate.
+        chosen = [b for b in chosen if b[0].article]
+        blocks = [b for b in blocks if b[0].article]
     for e, _, _ in chosen:
         e.held += 1
     for e in reversed(parser.elements[1:]):
@@ -282,8 +285,9 @@ def page_texts(pages: DataFrame) -> DataFrame:
     outside links and by punctuation per block, smoothed over neighbouring blocks
     of the same article, and multiplied. A path is selected by the logarithm of
     that, meant with the unsmoothed one: at least ``THRESHOLD`` of the mean over the page's letters, or as much as
-    a sentence has. If any lies in an ``article`` or ``main``,
-    those elements are the text. Else, within the smallest element around all selected blocks,
+    a sentence has. Each ``article`` and ``main`` has its own paths; if such
+    elements hold half of the selected text, blocks outside them are no
+    candidates. Within the smallest element around all selected blocks,
     paragraphs, list items, cells and quotes that run in the same element as
     selected text stay whatever their ratio, unless they are links by half.
     Headings stay or go with their section. Menus, headers, footers, sidebars, notices, adverts,

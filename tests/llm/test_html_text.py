@@ -75,3 +75,23 @@ def test_all_selected_text_is_in_the_element_around_it():
     html = f"<body><div><div>{near * 30}</div><section><p>The last part, that stands apart; it has stops, and text enough, too. "
     assert main_text(html + "It goes on, and on, for a while.</p></section></div>").endswith("and on, for a while.")
     assert "The last part" in main_text(html + "It goes on, and on, for a while.</p></section></div>")
+
+
+def test_ratios_choose_the_blocks_of_articles_too():
+    paras = [f"Paragraph {i} is text, with commas, and stops. It goes on for a while; so it has a ratio. " * 3 for i in range(6)]
+    text = "".join(f"<p>{p}</p>" for p in paras)
+    want = " ".join(["A title", *(p.strip() for p in paras)])
+    extra = ("<h2>More stories</h2><ul><li><a href=/1>One story</a><li><a href=/2>Another story</a></ul>",
+             "<div><a href=/s>Next: a story, with stops. And more.</a></div>", "<div>Share this page</div>",
+             "<section><h3>Readers say</h3><div><p>Nice one!</p></div><div><p>Well said.</p></div><div><p>I agree.</p></div></section>")
+    for tag in ("article", "main"):
+        for after in extra:
+            assert main_text(f"<body><{tag}><h1>A title</h1>{text}{after}</{tag}></body>") == want
+        teaser = "<article><h2>Other</h2><p>A short teaser, read on.</p></article>"
+        assert main_text(f"<body><{tag}><h1>A title</h1>{text}</{tag}>{teaser}</body>") == want
+        assert main_text(f"<body>{teaser}<{tag}><h1>A title</h1>{text}</{tag}></body>") == want
+    assert main_text(f"<main><h1>A title</h1><div>By me</div><article>{text}</article>{teaser}</main>") == want
+    # An article that holds the lesser part of the selected text is no border.
+    assert paras[5].strip() in main_text(f"<body>{teaser}<div>{text}</div></body>")
+    both = main_text(f"<body><article>{text}</article><article>{text}</article></body>")
+    assert both == " ".join(p.strip() for p in paras + paras)
