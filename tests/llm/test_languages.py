@@ -39,3 +39,24 @@ def test_odd_texts_and_tables(spark, make):
     assert kept.columns == both.columns and kept.where("doc_id IN (100000, 100001, 100002)").isEmpty()
     assert compress_lang.languages(make([])).collect() == []
     assert [r.lang_pred for r in compress_lang.languages(make(["abc", "def"])).collect()] == ["und", "und"]
+
+
+def _accuracy(docs):
+    rows = compress_lang.languages(docs).join(docs.select("doc_id", "lang", "n_chars"), "doc_id").where("n_chars >= 200").collect()
+    held = [r for r in rows if r.held_out and r.lang in ("de", "en", "es", "fr")]
+    return sum(r.lang_pred == r.lang for r in held) / len(held), sum(r.rejected for r in rows) / len(rows)
+
+
+def test_a_rare_label_or_many_copies_leave_the_others_whole(spark, make):
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
+    base = compress_lang.learn(docs)
+    text = docs.where("lang = 'en' AND n_chars > 400").first().text[:200]
+    rare = make([text], lang=["enn"]).selectExpr("9000000L + doc_id AS doc_id", "text", "lang", "source", "n_chars")
+    rare = rare.withColumn("doc_id", compress_lang.F.explode(compress_lang.F.sequence("doc_id", compress_lang.F.lit(9000008))))
+    learned = compress_lang.learn(docs.unionByName(rare))
+    assert {k: learned[k] for k in base} == base and 0 < len(learned["enn"]) <= 220
+    right, rejected = _accuracy(docs.unionByName(rare))
+    assert right >= 0.97 and rejected < 0.01
+    copies = rare.withColumn("lang", compress_lang.F.lit("en")).withColumn(
+        "doc_id", compress_lang.F.explode(compress_lang.F.sequence("doc_id", compress_lang.F.col("doc_id") + 3000)))
+    assert len(compress_lang.learn(docs.unionByName(copies))["en"]) == len(base["en"])
