@@ -56,14 +56,12 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     span = F.least(F.length("text"), F.lit(PASSAGE_CHARS))
     start = F.pmod(F.xxhash64("text", F.lit(6)), (F.length("text") - span + 1).cast("long")).cast("int")
     able = (docs.where(docs.lang.isNotNull() & docs.text.isNotNull() & docs.doc_id.isNotNull()
-                       & (fold(docs.doc_id) != HELD_OUT) & F.length(docs.text).between(200, 4000)).select("lang", "text")
+                       & (fold(docs.doc_id) != HELD_OUT)).select("lang", "text")
             .select("lang", F.xxhash64("text", F.lit(5)).alias("hash"), F.substring("text", start + 1, span).alias("part"))
             .withColumn("letters", F.length(F.regexp_replace("part", r"[^\p{L}]+", ""))).where("letters > 0"))
     have = able.groupBy("lang").agg(F.approx_count_distinct("hash").alias("texts"), F.avg("letters").alias("mean")).collect()
     if not have:
         return {}
-    if len(have) > 200:
-        raise ValueError("more than 200 languages")
     size = min(DICTIONARY_BYTES, TOTAL_BYTES // len(have))
     shares = {r.lang: min(1.0, 4 * (size / r.mean + 8) / r.texts) for r in have}
     order = Window.partitionBy("lang").orderBy("hash").rowsBetween(Window.unboundedPreceding, -1)

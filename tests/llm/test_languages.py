@@ -60,3 +60,13 @@ def test_a_rare_label_or_many_copies_leave_the_others_whole(spark, make):
     copies = rare.withColumn("lang", compress_lang.F.lit("en")).withColumn(
         "doc_id", compress_lang.F.explode(compress_lang.F.sequence("doc_id", compress_lang.F.col("doc_id") + 3000)))
     assert len(compress_lang.learn(docs.unionByName(copies))["en"]) == len(base["en"])
+
+
+def test_every_label_with_letters_has_a_dictionary(make):
+    texts = [f"kurze worte {chr(97 + i % 26) * (1 + i // 26)}" for i in range(40)] + [f"long{'x' * i} " * 3000 for i in range(40)] + ["12 34"] * 9
+    langs = ["short"] * 40 + ["long"] * 40 + ["none"] * 9
+    learned = compress_lang.learn(make(texts, lang=langs))
+    assert set(learned) == {"short", "long"} and all(len(raw) > 100 for raw in learned.values())
+    many = [f"l{i}" for i in range(260) for _ in range(12)]
+    learned = compress_lang.learn(make([f"text of {x} {chr(97 + n % 26) * 5} {n}" for n, x in enumerate(many)], lang=many))
+    assert set(learned) == set(many)
