@@ -64,7 +64,7 @@ def op6_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return syncmers.edit_fingerprints(table(spark, sf_dir, "documents"))
+    return syncmers.edit_matches(table(spark, sf_dir, "documents"))
 
 
 @query

@@ -155,3 +155,95 @@ def edit_fingerprints(docs: DataFrame) -> DataFrame:
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("sketch")).alias("fingerprint"),
         as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
         likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"), "near_next")
+
+
+def with_anchors(rows: DataFrame, text: str, out: str) -> DataFrame:
+    """Adds ``out``: every anchor of the whole text as ``word << 31 | hash``, by place."""
+    found = F.array_compact(F.transform(_starts(), lambda x, i: F.when(
+        _chosen(i, x), F.shiftleft(i.cast("long"), 31).bitwiseOR(_kmer(i, x).cast("long")))))
+    short = F.transform(_whole(), lambda x: x.cast("long"))
+    return _with_hashes(rows, text).withColumn(out, F.when(F.size("_h") < K, short).otherwise(found)).drop("_h", "_g")
+
+
+def with_matches(rows: DataFrame, a: str, b: str, near: str, offset: str | None = None) -> DataFrame:
+    """Adds ``near``, and ``offset``: by how many words most matched anchors of ``b`` stand behind those of ``a``.
+
+    Anchors of both texts are laid out by hash and place, those of ``b`` moved
+    back by the offset; neighbours of one hash from different texts match. Of
+    offsets with equal support the nearest to zero counts, without ``offset`` it
+    is zero. ``near`` is the mean m of the matched anchors of both over all
+    anchors less m: 1 for equal texts, also without any word.
+    """
+    def laid_out(shift):
+        def keys(side, back):
+            # Places are raised by 2^30, so that moved ones stay positive; texts have fewer words than that.
+            return lambda x: F.shiftleft(x.bitwiseAND(F.lit(_MASK)), 32).bitwiseOR(
+                F.shiftleft(F.shiftright(x, 31) - back + F.lit(1 << 30), 1)).bitwiseOR(F.lit(side))
+        return F.array_sort(F.concat(F.transform(a, keys(0, F.lit(0))), F.transform(b, keys(1, shift))))
+
+    def joins(x, y):
+        return (F.shiftright(x, 32) == F.shiftright(y, 32)) & (x.bitwiseXOR(y).bitwiseAND(F.lit(1)) == 1)
+
+    def place(x):
+        return F.shiftright(x.bitwiseAND(F.lit(0xFFFFFFFF)), 1)
+
+    def behind(x, y):
+        return F.when(x.bitwiseAND(F.lit(1)) == 0, place(y) - place(x)).otherwise(place(x) - place(y))
+
+    rows = rows.withColumn("_by", F.lit(0).cast("long"))
+    if offset:
+        rows = rows.withColumn("_k", laid_out(F.lit(0))).withColumn("_n", F.slice("_k", F.lit(2), F.greatest(F.size("_k"), F.lit(1))))
+        rows = rows.withColumn("_o", F.array_sort(F.array_compact(F.zip_with(
+            "_k", "_n", lambda x, y: F.when(joins(x, y), behind(x, y))))))
+        zero = F.struct(*[F.lit(0).cast("long").alias(n) for n in ("at", "n", "best", "most")])
+
+        def count(s, o):
+            n = F.when(s["at"] == o, s["n"] + 1).otherwise(F.lit(1).cast("long"))
+            more = (n > s["most"]) | ((n == s["most"]) & (F.abs(o) < F.abs(s["best"])))
+            return F.struct(o.alias("at"), n.alias("n"), F.when(more, o).otherwise(s["best"]).alias("best"),
+                            F.when(more, n).otherwise(s["most"]).alias("most"))
+
+        rows = rows.withColumn("_by", F.aggregate("_o", zero, count, lambda s: s["best"])).drop("_k", "_n", "_o")
+    rows = rows.withColumn("_k", laid_out(F.col("_by")))
+    rows = rows.withColumn("_n", F.slice("_k", F.lit(2), F.greatest(F.size("_k"), F.lit(1))))
+    rows = rows.withColumn("_j", F.zip_with("_k", "_n", lambda x, y: F.coalesce(joins(x, y), F.lit(False))))
+    last = F.concat(F.array(F.lit(False)), F.col("_j"))
+    hits = F.size(F.filter(F.zip_with("_j", last, lambda x, y: F.coalesce(x, F.lit(False)) | F.coalesce(y, F.lit(False))), lambda x: x))
+    rows = rows.withColumn("_m", hits / 2.0)
+    whole = F.size("_k") - F.col("_m")
+    rows = rows.withColumn(near, F.when(F.size("_k") == 0, 1.0).otherwise(F.col("_m") / whole))
+    return (rows.withColumn(offset, F.col("_by")) if offset else rows).drop("_k", "_n", "_j", "_m", "_by")
+
+
+def edit_matches(docs: DataFrame) -> DataFrame:
+    """As ``edit_fingerprints``, from all anchors with their places.
+
+    ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+    near_edited, near_next, next_offset``. A fingerprint is the list of all
+    anchors, ``word << 31 | hash``. ``near_edited`` matches anchors at the same
+    place, ``near_next`` at the offset that most matched anchors have,
+    ``next_offset``. Anchors are made where the texts meet and not stored; ids
+    alone are ordered, and a text moves once as itself and once as the next.
+    """
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    named = texts.where("doc_id IS NOT NULL")
+    ids = stored(named.select("doc_id"), "ids")
+    if ids.distinct().count() < ids.count():
+        named = named.groupBy("doc_id").agg(F.max("text").alias("text"))
+        ids = ids.distinct()
+    asks = stored(_with_next(ids.withColumn("sketch", F.lit(None).cast("int"))).select(
+        F.col("doc_id").alias("asker"), "next_id"), "asks")
+    lent = named.join(asks, F.col("doc_id") == F.col("next_id")).select("asker", F.col("text").alias("next_text"))
+    pairs = named.join(lent, F.col("doc_id") == F.col("asker")).select("doc_id", "text", "next_text")
+    pairs = pairs.unionByName(texts.where("doc_id IS NULL").withColumn("next_text", F.lit("")))
+    pairs = pairs.withColumn("n_chars", F.length("text").cast("long")).withColumn("edited", F.concat(
+        F.left("text", F.expr("CAST(n_chars - n_chars DIV 2 AS int)")), F.left("next_text", F.expr("CAST(n_chars DIV 2 AS int)"))))
+    rows = with_anchors(pairs, "text", "fingerprint")
+    rows = with_anchors(rows, "next_text", "_next").drop("text", "next_text")
+    rows = with_matches(rows, "fingerprint", "_next", "near_next", "next_offset").drop("_next")
+    rows = with_matches(with_anchors(rows, "edited", "edited_fingerprint"), "fingerprint", "edited_fingerprint", "near_edited")
+    lone = F.col("doc_id").isNull()
+    return rows.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited",
+        F.when(lone, 0.0).otherwise(F.col("near_next")).alias("near_next"),
+        F.when(lone, 0).otherwise(F.col("next_offset")).alias("next_offset"))

@@ -90,3 +90,25 @@ def test_a_passage_has_its_anchors_anywhere(make):
         by.setdefault(r.doc_id, {})[r.hash] = r.word
     assert len(by[0]) > 60
     assert {by[1][h] - w for h, w in by[0].items()} == {40}
+
+
+def test_matches_see_all_anchors_and_their_offsets(spark, make):
+    passage = " ".join(f"p{i}" for i in range(100))
+    a, b = (" ".join(f"{c}{i}" for i in range(3000)) for c in "ab")
+    texts = [f"{b} {passage}", f"{passage} {a}", "w " * 5000, None, "one two"]
+    df = make(texts)
+    rows = {r.doc_id: r for r in syncmers.edit_matches(df.union(df)).collect()}
+    assert len(rows) == 5
+    # Document 1 is followed by 0: they share the passage, 3,000 words further on.
+    assert rows[1].near_next > 0.01 and rows[1].next_offset == 3000
+    assert rows[2].near_next == 0 and rows[4].near_next == 0
+    for i, t in enumerate(texts):
+        assert [(x >> 31, x & 0x7FFFFFFF) for x in rows[i].fingerprint] == slow_anchors(t)
+        half = len(t or "") // 2
+        edited = (t or "")[:len(t or "") - half] + (texts[(i - 1) % 5] or "")[:half]
+        assert rows[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert [(x >> 31, x & 0x7FFFFFFF) for x in rows[i].edited_fingerprint] == slow_anchors(edited)
+    assert 0.3 < rows[0].near_edited < 0.7 and rows[3].near_edited == 1.0
+    same = {r.doc_id: r for r in syncmers.edit_matches(make([a, a])).collect()}
+    assert same[0].near_next == 1.0 and same[0].next_offset == 0
+    assert syncmers.edit_matches(make([])).collect() == []
