@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candor.llm import (compress_lang, html_text, maxscore, mixing, pieces, sharding, simhash, syncmers, token_counts,
-                        url_filter)
+from candor.llm import (alignment, compress_lang, html_text, maxscore, mixing, periodic_runs, pieces, sharding, simhash,
+                        syncmers, token_counts, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,6 +88,37 @@ def op10_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "reencoded_chars", F.sha2("edited", 256).alias("edited_sha256"))
 
 
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_statistics(table(spark, sf_dir, "documents"))
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: of every tenth document or so, by a hash of its id, the words from some place on repeat themselves."""
+    bare = F.btrim(F.coalesce("text", F.lit("")), F.lit(" \t\n\x0b\f\r"))
+    rows = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    rows = rows.withColumn("w", F.when((F.col("h") % 10 == 0) & (bare != ""), F.split(bare, r"[\x20\x09-\x0D]+")))
+    rows = rows.withColumns({"n": F.size("w").cast("long"), "g": F.floor(F.col("h") / 10)}).withColumn("a", F.expr("g % n"))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) DIV (3 + g % 8)"))
+    again = F.expr("array_join(transform(w, (x, i) -> IF(i < a, x, w[int(a + (i - a) % p)])), ' ')")
+    return rows.select("doc_id", F.when(F.col("w").isNotNull(), again).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest run of each document, and digests of all its runs and of the text without their repetitions."""
+    found = periodic_runs.collapsed(_with_planted_runs(table(spark, sf_dir, "documents")))
+    top = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    found = found.withColumn("top", top)
+    length, period = F.col("top.length"), -F.col("top.col3")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.col2")).alias("start"), length.alias("length"),
+        period.alias("period"), F.expr("(1000 * top.length) DIV (-top.col3)").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def _sql_list(values) -> str:
     return ", ".join("(" + ", ".join(f"'{x}'" for x in v) + ")" for v in values)
 
