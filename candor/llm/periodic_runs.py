@@ -9,6 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candor.llm.blocks import by_bytes, words
 
@@ -140,21 +141,24 @@ def _least_match(p: int) -> int:
 def _tiled(docs: DataFrame, tile: int) -> DataFrame:
     """Tiles of all documents: words as numbers that are equal where words of one document are."""
 
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(zip(*rows, strict=True), _TILES.types, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns], schema=_TILES)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in by_bytes(batches, "text", _BATCH_BYTES):
             found, starts = words(part["text"])
             codes = found.dictionary_encode().indices.to_numpy().astype("<i4")
-            rows = []
+            rows, size = [], 0
             for key, x, y in zip(part["key"].to_pylist(), starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                if y - x < LEAST_WORDS:
-                    continue
-                for low, high, a, b in _tiles(y - x, tile):
+                for low, high, a, b in _tiles(y - x, tile) if y - x >= LEAST_WORDS else ():
                     rows.append((key, low, high, a, y - x, codes[x + a:x + b].tobytes()))
-                    if sum(len(r[-1]) for r in rows[-1:]) >= _BATCH_BYTES or len(rows) >= 2048:
-                        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), _TILES.types, strict=True)], schema=_TILES)
-                        rows = []
+                    size += b - a
+                    if size >= _SOLVED_WORDS:
+                        yield batch_of(rows)
+                        rows, size = [], 0
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), _TILES.types, strict=True)], schema=_TILES)
+                yield batch_of(rows)
 
     return docs.mapInArrow(cut, _TILES_SPARK)
 
@@ -224,7 +228,7 @@ def runs(docs: DataFrame, text: str = "text", tile: int = TILE_WORDS) -> DataFra
     return keyed.join(_runs(keyed, tile), "key").select("doc_id", "text", "start", "length", "period")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _collapse(texts: pd.Series, starts: pd.Series, lengths: pd.Series, periods: pd.Series) -> pd.Series:
     def kept(text: str, start, length, period) -> str:
         own = text.encode().split()  # of bytes, split() knows blank and \\x09-\\x0D only
