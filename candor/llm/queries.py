@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candor.llm import (alignment, compress_lang, html_text, maxscore, mixing, periodic_runs, pieces, sharding, simhash,
-                        syncmers, token_counts, url_filter)
+from candor.llm import (alignment, compress_lang, html_text, maxscore, mixing, periodic_runs, pieces, recompression,
+                        sharding, simhash, syncmers, token_counts, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -119,6 +119,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+@query
+def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = recompression.repeats_removed(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def _sql_list(values) -> str:
     return ", ".join("(" + ", ".join(f"'{x}'" for x in v) + ")" for v in values)
 
@@ -197,7 +203,29 @@ FROM judged""")
     return ",".join(parts)
 
 
+def _passages_sql() -> str:
+    """Every window by its words."""
+    n = recompression.WINDOW
+    return f"""
+WITH own AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+windows AS MATERIALIZED (
+  SELECT r, doc_id, unnest(range(1, len(w) - {n - 2})) AS x, unnest(list_transform(
+    range(1, len(w) - {n - 2}), lambda x: md5(array_to_string(w[x:x + {n - 1}], ' ')))) AS k
+  FROM own WHERE len(w) >= {n}),
+least AS (SELECT k, min(doc_id) AS low FROM windows GROUP BY k),
+gone AS (
+  SELECT DISTINCT r, x + i AS place FROM windows JOIN least USING (k), unnest(range(0, {n})) AS t(i) WHERE low < doc_id),
+words AS (SELECT r, unnest(range(1, len(w) + 1)) AS place, unnest(w) AS word FROM own),
+left_over AS (
+  SELECT r, string_agg(word, ' ' ORDER BY place) AS kept, count(*) AS n FROM words ANTI JOIN gone USING (r, place) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM own LEFT JOIN left_over USING (r)"""
+
+
 ORACLES |= {
+    "op13_repeated_passages": _passages_sql(),
     "op2_url_verdicts": _url_sql(),
     "op5_source_mixture": _mixture_sql(),
     "op8_top_inner_products": _search_sql(),
