@@ -26,7 +26,7 @@ PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # Fixed value: how the byte vocabulary cuts text into pre-tokens.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPACE = "▁"              # how the piece vocabulary writes a blank
-BLOCK_BYTES = 4_000_000  # of text that are aligned at once; a longer text is a block of its own
+BLOCK_BYTES = 1_500_000  # of text that are aligned at once; a longer text is a block of its own
 
 Ragged = tuple[np.ndarray, np.ndarray]  # values of all rows, and where each row's begin
 

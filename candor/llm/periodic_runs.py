@@ -138,65 +138,57 @@ def _least_match(p: int) -> int:
     return max(LEAST_WORDS - p, (LEAST_PERIODS - 1) * p)
 
 
-def _tiled(docs: DataFrame, tile: int) -> DataFrame:
-    """Tiles of all documents: words as numbers that are equal where words of one document are."""
+def _batch_of(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(zip(*rows, strict=True), _TILES.types, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns], schema=_TILES)
+
 
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        columns = zip(zip(*rows, strict=True), _TILES.types, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns], schema=_TILES)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in by_bytes(batches, "text", _BATCH_BYTES):
-            found, starts = words(part["text"])
-            codes = found.dictionary_encode().indices.to_numpy().astype("<i4")
-            rows, size = [], 0
-            for key, x, y in zip(part["key"].to_pylist(), starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                for low, high, a, b in _tiles(y - x, tile) if y - x >= LEAST_WORDS else ():
-                    rows.append((key, low, high, a, y - x, codes[x + a:x + b].tobytes()))
-                    size += b - a
-                    if size >= _SOLVED_WORDS:
-                        yield batch_of(rows)
-                        rows, size = [], 0
-            if rows:
-                yield batch_of(rows)
-
-    return docs.mapInArrow(cut, _TILES_SPARK)
-
-
-def _solved(tiles: DataFrame) -> DataFrame:
+def _cut(batches: Iterator[pa.RecordBatch], tile: int) -> Iterator[pa.RecordBatch]:
+    """Tiles of all documents: words as numbers that are equal where words of one document are."""
+    for part in by_bytes(batches, "text", _BATCH_BYTES):
+        found, starts = words(part["text"])
+        codes = found.dictionary_encode().indices.to_numpy().astype("<i4")
+        rows, size = [], 0
+        for key, x, y in zip(part["key"].to_pylist(), starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+            for low, high, a, b in _tiles(y - x, tile) if y - x >= LEAST_WORDS else ():
+                rows.append((key, low, high, a, y - x, codes[x + a:x + b].tobytes()))
+                size += b - a
+                if size >= _SOLVED_WORDS:
+                    yield _batch_of(rows)
+                    rows, size = [], 0
+        if rows:
+            yield _batch_of(rows)
+
+
+def _solve(tiles: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``key, period, a, e``: matches inside each tile that are long enough, or that the tile cuts off."""
-    limit = 4 * _SOLVED_WORDS
-
-    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in by_bytes(batches, "codes", limit):
-            rows = sorted(zip(*(part[n].to_pylist() for n in _TILES.names), strict=True), key=lambda r: (r[1], r[2], -len(r[5])))
-            out: list[tuple[str, int, int, int]] = []
-            kinds: dict[tuple[int, int], list] = {}
-            for row in rows:
-                # Tiles of like size lie together, so that a large octave meets no small tile.
-                size = (len(row[5]) // 4).bit_length()
-                kinds.setdefault((row[1], min(row[2], size)), []).append(row)
-            for (low, high), own in kinds.items():
-                codes = [np.frombuffer(r[5], "<i4") for r in own]
-                sizes = np.array([len(v) for v in codes])
-                x = np.empty(int(sizes.sum()) + len(codes) + 1, dtype=np.int64)
-                starts = np.cumsum(np.concatenate(([1], sizes[:-1] + 1)))
-                x[np.concatenate((starts - 1, [len(x) - 1]))] = -1 - np.arange(len(codes) + 1)
-                for at, v in zip(starts, codes, strict=True):
-                    x[at:at + len(v)] = v
-                for p, a, e in boundary_runs(x, low, high, int(sizes.max())):
-                    i = int(np.searchsorted(starts, a, "right")) - 1
-                    key, _, _, first, total, _ = own[i]
-                    a, e = a - int(starts[i]), e - int(starts[i])
-                    cut_off = (a == 0 and first > 0) or (e + p == sizes[i] and first + sizes[i] < total)
-                    if cut_off or e - a >= _least_match(p):
-                        out.append((key, p, first + a, first + e))
-            if out:
-                key, p, a, e = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.string()), *[pa.array(v, pa.int64()) for v in (p, a, e)]],
-                                                 names=["key", "period", "a", "e"])
-
-    return tiles.mapInArrow(solve, "key string, period long, a long, e long")
+    for part in by_bytes(tiles, "codes", 4 * _SOLVED_WORDS):
+        rows = sorted(zip(*(part[n].to_pylist() for n in _TILES.names), strict=True), key=lambda r: (r[1], r[2], -len(r[5])))
+        out: list[tuple[str, int, int, int]] = []
+        kinds: dict[tuple[int, int], list] = {}
+        for row in rows:
+            # Tiles of like size lie together, so that a large octave meets no small tile.
+            size = (len(row[5]) // 4).bit_length()
+            kinds.setdefault((row[1], min(row[2], size)), []).append(row)
+        for (low, high), own in kinds.items():
+            codes = [np.frombuffer(r[5], "<i4") for r in own]
+            sizes = np.array([len(v) for v in codes])
+            x = np.empty(int(sizes.sum()) + len(codes) + 1, dtype=np.int64)
+            starts = np.cumsum(np.concatenate(([1], sizes[:-1] + 1)))
+            x[np.concatenate((starts - 1, [len(x) - 1]))] = -1 - np.arange(len(codes) + 1)
+            for at, v in zip(starts, codes, strict=True):
+                x[at:at + len(v)] = v
+            for p, a, e in boundary_runs(x, low, high, int(sizes.max())):
+                i = int(np.searchsorted(starts, a, "right")) - 1
+                key, _, _, first, total, _ = own[i]
+                a, e = a - int(starts[i]), e - int(starts[i])
+                cut_off = (a == 0 and first > 0) or (e + p == sizes[i] and first + sizes[i] < total)
+                if cut_off or e - a >= _least_match(p):
+                    out.append((key, p, first + a, first + e))
+        if out:
+            key, p, a, e = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.string()), *[pa.array(v, pa.int64()) for v in (p, a, e)]],
+                                             names=["key", "period", "a", "e"])
 
 
 def _keyed(docs: DataFrame, text: str) -> DataFrame:
@@ -210,8 +202,10 @@ def _runs(keyed: DataFrame, tile: int) -> DataFrame:
     """``key, start, length, period`` of every run."""
     own = keyed.select("key", "text")
     short = F.length("text") <= 2 * tile  # so at most `tile` words
-    tiles = _tiled(own.where(~short), tile).repartition("key", "low", "first")
-    found = _solved(_tiled(own.where(short), tile)).unionByName(_solved(tiles)).distinct()
+    matches = "key string, period long, a long, e long"
+    tiles = own.where(~short).mapInArrow(lambda rows: _cut(rows, tile), _TILES_SPARK).repartition("key", "low", "first")
+    found = (own.where(short).mapInArrow(lambda rows: _solve(_cut(rows, tile)), matches)
+             .unionByName(tiles.mapInArrow(_solve, matches)).distinct())
     before = Window.partitionBy("key", "period").orderBy("a", "e").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy("key", "period").orderBy("a", "e").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     begins = F.coalesce((F.max("e").over(before) < F.col("a")), F.lit(True)).cast("int")

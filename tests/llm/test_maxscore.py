@@ -10,12 +10,12 @@ from candor.llm import maxscore
 
 
 def slow(rows, k, step):
-    v = {i: [math.floor(64 * x) for x in e] for i, e in rows
-         if i is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)}
+    v = [(i, [math.floor(64 * x) for x in e]) for i, e in rows
+         if i is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)]
     out = []
-    for q in v:
+    for n, (q, mine) in enumerate(v):
         if q % step == 0:
-            best = sorted((-sum(a * b for a, b in zip(v[q], v[d])), d) for d in v if d != q)[:k]
+            best = sorted((-sum(a * b for a, b in zip(mine, other)), d) for m, (d, other) in enumerate(v) if m != n)[:k]
             out += [(q, r + 1, d, -s) for r, (s, d) in enumerate(best)]
     return sorted(out)
 
@@ -53,20 +53,28 @@ def test_unusable_short_and_repeated_rows(spark):
     rows = [(0, [1.0, -0.5]), (1, None), (2, [nan, 1.0]), (3, [inf, 0.0]), (4, [None, 1.0]), (5, []), (6, [2.0, 0.25, 9.0]),
             (9, [0.0, 0.0]), (None, [1.0, 1.0]), (10, [-0.001, 1.0])]
     assert run(spark, rows) == slow(rows, 5, 3)
-    assert run(spark, rows + rows[:1]) == slow(rows, 5, 3)
+    again = rows + rows[:1] + [(6, [0.5]), (6, [2.0, 0.25, 9.0]), (0, [-1.0])]
+    for first_rows in (4, 4096):
+        assert run(spark, again, first_rows=first_rows) == slow(again, 5, 3)
     assert run(spark, []) == [] and run(spark, [(3, [1.0])]) == []
     with pytest.raises(ValueError):
         run(spark, [(0, [1e9]), (1, [1e9])])
 
 
-def test_most_rows_are_pruned():
-    """Rows alike to the query in few terms are not probed to the end."""
+def test_most_terms_are_not_essential_and_results_whole():
     import numpy as np
     pick = np.random.default_rng(1)
     rows = np.floor(64 * pick.normal(size=(4000, 32)) * 1.5 ** -np.arange(32))
-    lists = maxscore.Postings(np.arange(4000), list(rows))
-    ids, scores = lists.search(rows[7], 7, 20)
-    full = rows @ rows[7]
-    full[7] = -np.inf
-    want = np.lexsort((np.arange(4000), -full))[:20]
-    assert ids.tolist() == want.tolist() and scores.tolist() == full[want].tolist()
+    lists = maxscore.Postings(np.arange(4000), np.arange(4000), list(rows), 32)
+    full = rows[:50] @ rows.T
+    np.fill_diagonal(full, -np.inf)
+    for limits in (np.full(50, -np.inf), np.sort(full[:, :1000], axis=1)[:, -20]):
+        q, at, score = lists.search(rows[:50], np.arange(50), limits, 20)
+        for i in range(50):
+            want = np.lexsort((np.arange(4000), -full[i]))[:20]
+            assert at[q == i].tolist() == want.tolist() and score[q == i].tolist() == full[i][want].tolist()
+    upper = np.maximum(rows[:50] * lists.high, rows[:50] * lists.low) - np.minimum(rows[:50] * lists.high, rows[:50] * lists.low)
+    ranked = -np.sort(-upper, axis=1)
+    floor = np.minimum(rows[:50] * lists.high, rows[:50] * lists.low).sum(axis=1)
+    essential = (floor[:, None] + np.cumsum(ranked[:, ::-1], axis=1)[:, ::-1] >= limits[:, None]).sum(axis=1)
+    assert essential.mean() < 16
