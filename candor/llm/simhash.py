@@ -133,11 +133,30 @@ def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFr
 
 
 def one_of_each(docs: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """The documents without near copies: of each component the one with the smallest doc_id stays.
+    """The documents without near copies: one row of each component stays, columns as they are.
 
-    Columns are kept as they are. Of rows that share a doc_id one stays; rows
-    without a doc_id have no identity to be linked by and stay.
+    It is a row with the component's smallest doc_id; of several the one with the
+    smallest fingerprint, then text hash, then hash of the whole row, so a rerun
+    keeps the same. Rows of one doc_id whose texts are not linked belong to
+    components of their own, and each of these keeps a row. A row without a
+    doc_id has no identity to be linked by and stays.
+
+    Rows are chosen by numbers alone, three a row; texts meet the choice in a
+    semi-join, and are grouped only where some row is repeated.
     """
     named = docs.where("doc_id IS NOT NULL")
-    kept = near_duplicates(named, max_distance).where("doc_id = component_id").select("doc_id").distinct()
-    return named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    text_hash = F.xxhash64("text")
+    own = stored(named.select(F.col("doc_id").alias("id"), text_hash.alias("h"), fingerprints(named).alias("fp")), "fingerprints")
+    prints = stored(own.groupBy("fp").agg(F.min("id").alias("first")), "prints")
+    found = connected_components(linked_pairs(prints.select("fp", F.col("fp").alias("rep")), max_distance), "a", "b")
+    classes = prints.join(found, prints.fp == found.v, "left").select("fp", "first", F.coalesce("component", "fp").alias("class"))
+    best = classes.groupBy("class").agg(F.min(F.struct("first", "fp")).alias("x")).select(
+        F.col("x.first").alias("id"), F.col("x.fp").alias("fp"))
+    texts = own.groupBy("id", "fp", "h").agg(F.count("*").alias("n")).join(best, ["id", "fp"], "left_semi")
+    chosen = stored(texts.groupBy("id", "fp").agg(F.min(F.struct("h", "n")).alias("x")).select(
+        F.col("id").alias("_id"), F.col("x.h").alias("_h"), F.col("x.n").alias("_n")), "chosen")
+    kept = named.join(chosen.drop("_n"), (named.doc_id == F.col("_id")) & (F.xxhash64(named.text) == F.col("_h")), "left_semi")
+    if not chosen.where("_n > 1").isEmpty():
+        alike = kept.select(F.struct(*kept.columns).alias("row")).groupBy(F.col("row.doc_id"), F.xxhash64("row.text"))
+        kept = alike.agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).select("row.*")
+    return kept.unionByName(docs.where("doc_id IS NULL"))

@@ -11,7 +11,7 @@ from candor.session import stored
 
 K = 5            # words of a k-mer
 S = 2            # words of an inner substring; K - S + 1 of them lie in a k-mer
-SKETCH = 64      # a fingerprint keeps the smallest hashes of a text's chosen k-mers
+KEY = "struct<doc_id:bigint,h:bigint>"
 _BLANK = r"[\x20\x09-\x0D]+"
 _BLANKS = " \t\n\x0b\f\r"
 _MASK = 0x7FFFFFFF
@@ -66,95 +66,27 @@ def anchors(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.select("doc_id", F.inline(F.when(F.size("_h") < K, short).otherwise(found)))
 
 
-def with_sketch(rows: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds ``out``: the ``SKETCH`` smallest distinct anchor hashes of the whole text, in order."""
-    found = F.array_compact(F.transform(_starts(), lambda x, i: F.when(_chosen(i, x), _kmer(i, x))))
-    hashes = F.when(F.size("_h") < K, _whole()).otherwise(found)
-    return (_with_hashes(rows, text)
-            .withColumn(out, F.slice(F.array_sort(F.array_distinct(hashes)), 1, SKETCH)).drop("_h", "_g"))
+def as_text(fingerprint: Column) -> Column:
+    """Anchors by place, each ``word << 31 | hash`` in hex digits, parted by blanks."""
+    return F.array_join(F.transform(fingerprint, lambda x: F.hex(x)), " ")
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Share of common hashes among the smallest of both sketches: the Jaccard likeness, exact for short texts.
+def _with_next(keys: DataFrame) -> DataFrame:
+    """``key, next_key``: every key with the following one from the largest down; the last is followed by the first.
 
-    Two empty sketches are alike (1), an empty and another are not (0).
+    Keys are range-partitioned and stored, so that each slice is numbered within
+    itself. What a slice's last key needs is the first key of the next slice: one
+    row a slice, which the driver chains.
     """
-    smallest = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
-    common = F.size(F.array_intersect(smallest, F.array_intersect(a, b)))
-    return F.when(F.size(smallest) == 0, 1.0).otherwise(common / F.size(smallest))
-
-
-def as_text(sketch: Column) -> Column:
-    return F.array_join(F.transform(sketch, lambda x: F.lpad(F.hex(x), 8, "0")), "")
-
-
-def _with_next(own: DataFrame) -> DataFrame:
-    """Adds ``next_id`` and ``next_sketch`` of the following row by descending doc_id; the last is followed by the first.
-
-    Rows are range-partitioned by id and stored, so that each slice is numbered
-    within itself. What a slice's last row needs is the first row of the next
-    slice: one row a slice, which the driver chains.
-    """
-    ordered = stored(own.repartitionByRange(F.desc("doc_id")).withColumn("part", F.spark_partition_id()), "ordered")
-    heads = {r.part: r.top for r in ordered.groupBy("part").agg(F.max("doc_id").alias("top")).collect()}
+    ordered = stored(keys.repartitionByRange(F.desc("key")).withColumn("part", F.spark_partition_id()), "ordered")
+    heads = {r.part: r.top for r in ordered.groupBy("part").agg(F.max("key").alias("top")).collect()}
     parts = sorted(heads)
-    after = [None] * (max(parts, default=-1) + 1)
+    after: list = [None] * (max(parts, default=-1) + 1)
     for at, part in enumerate(parts):
-        after[part] = heads[parts[(at + 1) % len(parts)]]
-    following = Window.partitionBy("part").orderBy(F.desc("doc_id"))
-    ordered = (ordered.withColumn("next_id", F.lead("doc_id").over(following))
-               .withColumn("next_sketch", F.lead("sketch").over(following)))
-    first = F.get(F.from_json(F.lit(json.dumps(after)), "array<bigint>"), F.col("part"))
-    edge = ordered.where("next_id IS NULL").withColumn("next_id", first).drop("next_sketch")
-    heads_only = own.where(F.col("doc_id").isin([h for h in after if h is not None])).select(
-        F.col("doc_id").alias("next_id"), F.col("sketch").alias("next_sketch"))
-    return ordered.where("next_id IS NOT NULL").unionByName(edge.join(heads_only, "next_id"))
-
-
-def edit_fingerprints(docs: DataFrame) -> DataFrame:
-    """Fingerprints of every text and of its edited text, and how alike they are.
-
-    ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next``. The edited text has its last floor(n_chars / 2)
-    code points replaced by the first as many (or all) of the next document by
-    descending doc_id; the last is followed by the first, a lone one by itself.
-    Null texts count as empty. Of rows that share a doc_id one counts, with the
-    largest text in text order. A row without a doc_id has no next document: its
-    edited text is what remains, and ``near_next`` is 0. Other columns are not
-    read.
-
-    Sketches are made once and are all that the ordering moves. Texts are
-    shuffled once by doc_id; that shuffle serves both the documents and the
-    beginnings that they lend, which are cut to the length asked for first.
-    """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    named = texts.where("doc_id IS NOT NULL")
-    sketched = with_sketch(named.withColumn("n_chars", F.length("text").cast("long")), "text", "sketch")
-    own = stored(sketched.select("doc_id", "n_chars", "sketch"), "sketches")
-    n_own = own.count()
-    distinct = own.select("doc_id").distinct().count()
-    if distinct < n_own:
-        named = named.groupBy("doc_id").agg(F.max("text").alias("text"))
-        sketched = with_sketch(named.withColumn("n_chars", F.length("text").cast("long")), "text", "sketch")
-        own = stored(sketched.select("doc_id", "n_chars", "sketch"), "sketches")
-    asks = _with_next(own).select(
-        "doc_id", "next_id", "n_chars", "sketch", likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
-    asks = stored(asks.withColumnRenamed("doc_id", "asker"), "asks")
-    half = F.expr("CAST(n_chars DIV 2 AS int)")
-    lent = (named.join(asks, F.col("doc_id") == F.col("next_id"))
-            .select("asker", "n_chars", "sketch", "near_next", F.left("text", half).alias("lent")))
-    edited = (named.join(lent, F.col("doc_id") == F.col("asker"))
-              .select("doc_id", "n_chars", "sketch", "near_next", F.concat(
-                  F.left("text", F.expr("CAST(n_chars - n_chars DIV 2 AS int)")), "lent").alias("edited")))
-    lone = texts.where("doc_id IS NULL").withColumn("n_chars", F.length("text").cast("long"))
-    lone = with_sketch(lone, "text", "sketch").select(
-        "doc_id", "n_chars", "sketch", F.lit(0.0).alias("near_next"),
-        F.left("text", F.expr("CAST(n_chars - n_chars DIV 2 AS int)")).alias("edited"))
-    both = with_sketch(edited.unionByName(lone), "edited", "edited_sketch")
-    return both.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("sketch")).alias("fingerprint"),
-        as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"), "near_next")
+        after[part] = heads[parts[(at + 1) % len(parts)]].asDict()
+    first = F.get(F.from_json(F.lit(json.dumps(after)), f"array<{KEY}>"), F.col("part"))
+    following = F.lead("key").over(Window.partitionBy("part").orderBy(F.desc("key")))
+    return ordered.select("key", F.coalesce(following, first).alias("next_key"))
 
 
 def with_anchors(rows: DataFrame, text: str, out: str) -> DataFrame:
@@ -168,18 +100,15 @@ def with_anchors(rows: DataFrame, text: str, out: str) -> DataFrame:
 def with_matches(rows: DataFrame, a: str, b: str, near: str, offset: str | None = None) -> DataFrame:
     """Adds ``near``, and ``offset``: by how many words most matched anchors of ``b`` stand behind those of ``a``.
 
-    Anchors of both texts are laid out by hash and place, those of ``b`` moved
-    back by the offset; neighbours of one hash from different texts match. Of
-    offsets with equal support the nearest to zero counts, without ``offset`` it
-    is zero. ``near`` is the mean m of the matched anchors of both over all
-    anchors less m: 1 for equal texts, also without any word.
+    Anchors of both texts are laid out by hash, then place; neighbours of one
+    hash from different texts match. ``near`` is the mean m of the matched
+    anchors of both over all anchors less m: 1 for equal texts, also without any
+    word, wherever in the texts a shared passage stands. Of offsets with equal
+    support the nearest to zero counts, then the smaller.
     """
-    def laid_out(shift):
-        def keys(side, back):
-            # Places are raised by 2^30, so that moved ones stay positive; texts have fewer words than that.
-            return lambda x: F.shiftleft(x.bitwiseAND(F.lit(_MASK)), 32).bitwiseOR(
-                F.shiftleft(F.shiftright(x, 31) - back + F.lit(1 << 30), 1)).bitwiseOR(F.lit(side))
-        return F.array_sort(F.concat(F.transform(a, keys(0, F.lit(0))), F.transform(b, keys(1, shift))))
+    def keys(side):
+        return lambda x: F.shiftleft(x.bitwiseAND(F.lit(_MASK)), 32).bitwiseOR(
+            F.shiftleft(F.shiftright(x, 31), 1)).bitwiseOR(F.lit(side))
 
     def joins(x, y):
         return (F.shiftright(x, 32) == F.shiftright(y, 32)) & (x.bitwiseXOR(y).bitwiseAND(F.lit(1)) == 1)
@@ -190,9 +119,9 @@ def with_matches(rows: DataFrame, a: str, b: str, near: str, offset: str | None
     def behind(x, y):
         return F.when(x.bitwiseAND(F.lit(1)) == 0, place(y) - place(x)).otherwise(place(x) - place(y))
 
-    rows = rows.withColumn("_by", F.lit(0).cast("long"))
+    rows = rows.withColumn("_k", F.array_sort(F.concat(F.transform(a, keys(0)), F.transform(b, keys(1)))))
+    rows = rows.withColumn("_n", F.slice("_k", F.lit(2), F.greatest(F.size("_k"), F.lit(1))))
     if offset:
-        rows = rows.withColumn("_k", laid_out(F.lit(0))).withColumn("_n", F.slice("_k", F.lit(2), F.greatest(F.size("_k"), F.lit(1))))
         rows = rows.withColumn("_o", F.array_sort(F.array_compact(F.zip_with(
             "_k", "_n", lambda x, y: F.when(joins(x, y), behind(x, y))))))
         zero = F.struct(*[F.lit(0).cast("long").alias(n) for n in ("at", "n", "best", "most")])
@@ -203,38 +132,42 @@ def with_matches(rows: DataFrame, a: str, b: str, near: str, offset: str | None
             return F.struct(o.alias("at"), n.alias("n"), F.when(more, o).otherwise(s["best"]).alias("best"),
                             F.when(more, n).otherwise(s["most"]).alias("most"))
 
-        rows = rows.withColumn("_by", F.aggregate("_o", zero, count, lambda s: s["best"])).drop("_k", "_n", "_o")
-    rows = rows.withColumn("_k", laid_out(F.col("_by")))
-    rows = rows.withColumn("_n", F.slice("_k", F.lit(2), F.greatest(F.size("_k"), F.lit(1))))
+        rows = rows.withColumn(offset, F.aggregate("_o", zero, count, lambda s: s["best"])).drop("_o")
     rows = rows.withColumn("_j", F.zip_with("_k", "_n", lambda x, y: F.coalesce(joins(x, y), F.lit(False))))
     last = F.concat(F.array(F.lit(False)), F.col("_j"))
     hits = F.size(F.filter(F.zip_with("_j", last, lambda x, y: F.coalesce(x, F.lit(False)) | F.coalesce(y, F.lit(False))), lambda x: x))
     rows = rows.withColumn("_m", hits / 2.0)
     whole = F.size("_k") - F.col("_m")
-    rows = rows.withColumn(near, F.when(F.size("_k") == 0, 1.0).otherwise(F.col("_m") / whole))
-    return (rows.withColumn(offset, F.col("_by")) if offset else rows).drop("_k", "_n", "_j", "_m", "_by")
+    return rows.withColumn(near, F.when(F.size("_k") == 0, 1.0).otherwise(F.col("_m") / whole)).drop("_k", "_n", "_j", "_m")
 
 
 def edit_matches(docs: DataFrame) -> DataFrame:
-    """As ``edit_fingerprints``, from all anchors with their places.
+    """Fingerprints of every text and of its edited text, and how alike they are, from all anchors with their places.
 
     ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next, next_offset``. A fingerprint is the list of all
-    anchors, ``word << 31 | hash``. ``near_edited`` matches anchors at the same
-    place, ``near_next`` at the offset that most matched anchors have,
-    ``next_offset``. Anchors are made where the texts meet and not stored; ids
-    alone are ordered, and a text moves once as itself and once as the next.
+    near_edited, near_next, next_offset``. The edited text has its last
+    floor(n_chars / 2) code points replaced by the first as many (or all) of the
+    next document by descending doc_id; the last is followed by the first, a lone
+    one by itself. Rows that share a doc_id follow each other by a hash of their
+    texts; rows equal in both stand in the order once, and each of them gives a
+    row. Null texts count as empty. A row without a doc_id has no next document:
+    its edited text is what remains, and ``near_next`` is 0. A fingerprint lists
+    all anchors, see ``as_text``; ``near_edited`` and ``near_next`` are the same
+    likeness, see ``with_matches``; ``next_offset`` tells by how many words the
+    passages shared with the next document are moved. Other columns are not read.
+
+    Anchors are made where the texts meet and not stored; keys alone are ordered,
+    and a text moves once as itself and once as the next.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    named = texts.where("doc_id IS NOT NULL")
-    ids = stored(named.select("doc_id"), "ids")
-    if ids.distinct().count() < ids.count():
-        named = named.groupBy("doc_id").agg(F.max("text").alias("text"))
-        ids = ids.distinct()
-    asks = stored(_with_next(ids.withColumn("sketch", F.lit(None).cast("int"))).select(
-        F.col("doc_id").alias("asker"), "next_id"), "asks")
-    lent = named.join(asks, F.col("doc_id") == F.col("next_id")).select("asker", F.col("text").alias("next_text"))
-    pairs = named.join(lent, F.col("doc_id") == F.col("asker")).select("doc_id", "text", "next_text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    named = texts.where("doc_id IS NOT NULL").select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("key"), "text")
+    keys = stored(named.select("key"), "keys")
+    own, lenders = keys.distinct(), named
+    if own.count() < keys.count():
+        lenders = named.groupBy("key").agg(F.max("text").alias("text"))
+    asks = stored(_with_next(own).withColumnRenamed("key", "asker"), "asks")
+    lent = lenders.join(asks, F.col("key") == F.col("next_key")).select("asker", F.col("text").alias("next_text"))
+    pairs = named.join(lent, F.col("key") == F.col("asker")).select(F.col("key.doc_id").alias("doc_id"), "text", "next_text")
     pairs = pairs.unionByName(texts.where("doc_id IS NULL").withColumn("next_text", F.lit("")))
     pairs = pairs.withColumn("n_chars", F.length("text").cast("long")).withColumn("edited", F.concat(
         F.left("text", F.expr("CAST(n_chars - n_chars DIV 2 AS int)")), F.left("next_text", F.expr("CAST(n_chars DIV 2 AS int)"))))
@@ -244,6 +177,7 @@ def edit_matches(docs: DataFrame) -> DataFrame:
     rows = with_matches(with_anchors(rows, "edited", "edited_fingerprint"), "fingerprint", "edited_fingerprint", "near_edited")
     lone = F.col("doc_id").isNull()
     return rows.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited",
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("fingerprint")).alias("fingerprint"),
+        as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"), "near_edited",
         F.when(lone, 0.0).otherwise(F.col("near_next")).alias("near_next"),
         F.when(lone, 0).otherwise(F.col("next_offset")).alias("next_offset"))

@@ -98,6 +98,16 @@ def test_one_of_each_keeps_columns(spark, make):
     assert sorted((r.doc_id for r in simhash.one_of_each(twice).collect()), key=str) == [0, 1, 3, None]
 
 
+def test_rows_of_one_id_with_other_texts_all_stay(spark):
+    far = " ".join(f"w{i}" for i in range(40))
+    rows = [(5, "a b c d e f g", "x"), (5, far, "y"), (9, "q r s t u v", "z"), (9, far, "y"), (3, "k l m n o p", "x"), (3, "k l m n o p", "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, h string")
+    kept = {tuple(r) for r in simhash.one_of_each(docs).collect()}
+    assert {r[:2] for r in kept} == {(5, "a b c d e f g"), (5, far), (9, "q r s t u v"), (3, "k l m n o p")} and len(kept) == 4
+    for n in (1, 3, 7):
+        assert {tuple(r) for r in simhash.one_of_each(docs.repartition(n)).collect()} == kept
+
+
 def test_empty_table(make):
     assert simhash.near_duplicates(make([])).collect() == []
     assert simhash.one_of_each(make([])).collect() == []

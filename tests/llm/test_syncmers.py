@@ -34,33 +34,46 @@ def slow_anchors(text):
     return out
 
 
-def slow_rows(docs):
-    order = sorted(docs, reverse=True)
-    prints = {i: sorted({h for _, h in slow_anchors(docs[i])})[:64] for i in docs}
+def slow_match(a, b):
+    """Likeness and offset of two lists of (place, hash)."""
+    laid = sorted([(h, w, 0) for w, h in a] + [(h, w, 1) for w, h in b])
+    met = [x[0] == y[0] and x[2] != y[2] for x, y in zip(laid, laid[1:])]
+    hits = sum(x or y for x, y in zip([*met, False], [False, *met])) if laid else 0
+    moved = [(y[1] - x[1]) * (1 if x[2] == 0 else -1) for x, y, m in zip(laid, laid[1:], met) if m]
+    best = min(set(moved), key=lambda o: (-moved.count(o), abs(o), o), default=0)
+    return (hits / 2) / (len(laid) - hits / 2) if laid else 1.0, best
 
-    def like(a, b):
-        low = sorted({*a, *b})[:64]
-        return len([x for x in low if x in a and x in b]) / len(low) if low else 1.0
 
+def slow_rows(docs):
+    order = sorted(docs, reverse=True)
+    prints = {i: slow_anchors(docs[i]) for i in docs}
     out = {}
     for n, i in enumerate(order):
         text, after = docs[i] or "", order[(n + 1) % len(order)]
         half = len(text) // 2
         edited = text[:len(text) - half] + (docs[after] or "")[:half]
-        own = sorted({h for _, h in slow_anchors(edited)})[:64]
-        out[i] = (len(text), hashlib.sha256(edited.encode()).hexdigest(), "".join(f"{x:08X}" for x in prints[i]),
-                  "".join(f"{x:08X}" for x in own), round(like(prints[i], own), 9), round(like(prints[i], prints[after]), 9))
+        own = slow_anchors(edited)
+        near, offset = slow_match(prints[i], prints[after])
+        out[i] = (len(text), hashlib.sha256(edited.encode()).hexdigest(), written(prints[i]), written(own),
+                  round(slow_match(prints[i], own)[0], 9), round(near, 9), offset)
     return out
 
 
+def written(found):
+    return " ".join(f"{w << 31 | h:X}" for w, h in found)
+
+
 def rows_of(df):
     return {r.doc_id: (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9),
-                       round(r.near_next, 9)) for r in syncmers.edit_fingerprints(df).collect()}
+                       round(r.near_next, 9), r.next_offset) for r in syncmers.edit_matches(df).collect()}
 
 
 def test_given_documents_against_brute_force(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet")
     assert rows_of(df) == slow_rows({r.doc_id: r.text for r in df.collect()})
+    assert dict(syncmers.edit_matches(df).dtypes) == {
+        "doc_id": "bigint", "n_chars": "bigint", "edited_sha256": "string", "fingerprint": "string",
+        "edited_fingerprint": "string", "near_edited": "double", "near_next": "double", "next_offset": "bigint"}
 
 
 def test_odd_texts(make):
@@ -73,12 +86,15 @@ def test_odd_texts(make):
 
 
 def test_lone_repeated_and_nameless_rows(spark, make):
-    assert syncmers.edit_fingerprints(make([])).collect() == []
+    assert syncmers.edit_matches(make([])).collect() == []
     assert rows_of(make(["a b c d e f"])) == slow_rows({0: "a b c d e f"})
     df = make(["a b c d e f g", "h i j k l m n"])
     assert rows_of(df.union(df)) == rows_of(df)
+    assert syncmers.edit_matches(df.union(df)).count() == 4
+    other = df.withColumn("text", F.concat("text", F.lit(" and more")))
+    assert sorted(r.n_chars for r in syncmers.edit_matches(df.union(other).union(df)).collect()) == [13] * 4 + [22] * 2
     lone = df.withColumn("doc_id", F.lit(None).cast("long")).limit(1)
-    extra = [r for r in syncmers.edit_fingerprints(df.union(lone)).collect() if r.doc_id is None]
+    extra = [r for r in syncmers.edit_matches(df.union(lone)).collect() if r.doc_id is None]
     assert [(r.n_chars, r.near_next) for r in extra] == [(13, 0.0)]
 
 
@@ -92,23 +108,16 @@ def test_a_passage_has_its_anchors_anywhere(make):
     assert {by[1][h] - w for h, w in by[0].items()} == {40}
 
 
-def test_matches_see_all_anchors_and_their_offsets(spark, make):
+def test_matches_see_passages_at_other_places(spark, make):
     passage = " ".join(f"p{i}" for i in range(100))
     a, b = (" ".join(f"{c}{i}" for i in range(3000)) for c in "ab")
     texts = [f"{b} {passage}", f"{passage} {a}", "w " * 5000, None, "one two"]
-    df = make(texts)
-    rows = {r.doc_id: r for r in syncmers.edit_matches(df.union(df)).collect()}
-    assert len(rows) == 5
+    rows = {r.doc_id: r for r in syncmers.edit_matches(make(texts)).collect()}
     # Document 1 is followed by 0: they share the passage, 3,000 words further on.
     assert rows[1].near_next > 0.01 and rows[1].next_offset == 3000
     assert rows[2].near_next == 0 and rows[4].near_next == 0
-    for i, t in enumerate(texts):
-        assert [(x >> 31, x & 0x7FFFFFFF) for x in rows[i].fingerprint] == slow_anchors(t)
-        half = len(t or "") // 2
-        edited = (t or "")[:len(t or "") - half] + (texts[(i - 1) % 5] or "")[:half]
-        assert rows[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
-        assert [(x >> 31, x & 0x7FFFFFFF) for x in rows[i].edited_fingerprint] == slow_anchors(edited)
     assert 0.3 < rows[0].near_edited < 0.7 and rows[3].near_edited == 1.0
     same = {r.doc_id: r for r in syncmers.edit_matches(make([a, a])).collect()}
     assert same[0].near_next == 1.0 and same[0].next_offset == 0
-    assert syncmers.edit_matches(make([])).collect() == []
+    moved = {r.doc_id: r for r in syncmers.edit_matches(make(["a b c d e f g h i j", "x a b c d e f g h i j"])).collect()}
+    assert moved[0].near_next == moved[1].near_next == 1.0
