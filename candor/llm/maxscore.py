@@ -18,7 +18,9 @@ SHARD_ROWS = 8192    # candidates a shard is meant to hold
 BLOCK_ROWS = 2048    # queries a block is meant to hold
 FIRST_ROWS = 4096    # the longest vectors, which give every query its first threshold
 _CHUNK = 256         # queries that a shard is traversed for at once
-_PROBE = 8           # further terms between two prunings
+_PROBE = 8           # further terms before the next pruning, then twice as many
+_SPARSE = 0.02       # share of rows that can still compete, from which on they are probed one by one
+_PAIRS = 50_000      # of them at once
 _MOST_TASKS = 20_000
 
 
@@ -54,8 +56,9 @@ class Postings:
         ``limits`` a score that ``k`` rows of the whole table are known to reach.
         Every term has an upper bound on what it adds. The terms with the largest
         bounds are essential: the rest together cannot lift a row over the limit.
-        Essential columns are traversed for all rows, for many queries at once;
-        the others are probed only for rows that can still reach the limit.
+        Essential columns are traversed for all rows, for many queries at once,
+        and so are the next ones while many rows can still reach the limit; the
+        others are probed only for the few rows that can.
         """
         upper = np.maximum(queries * self.high, queries * self.low)
         floor = np.minimum(queries * self.high, queries * self.low)
@@ -68,7 +71,6 @@ class Postings:
         np.put_along_axis(rank, order, np.arange(queries.shape[1])[None, :], axis=1)
         essential = rank < cut[:, None]
         score = np.where(essential, queries, 0.0) @ self.rows.T
-        rest = np.where(essential, 0.0, upper).sum(axis=1)
         q, at = np.nonzero(own[:, None] == self.numbers[None, :])
         score[q, at] = -np.inf
         if score.shape[1] > 4 * k:
@@ -77,19 +79,23 @@ class Postings:
             whole = np.einsum("qd,qrd->qr", queries, self.rows[best])
             whole[np.isneginf(np.take_along_axis(score, best, axis=1))] = -np.inf
             limits = np.maximum(limits, np.partition(whole, 3 * k, axis=1)[:, 3 * k])
-        q, at = np.nonzero(score + rest[:, None] >= limits[:, None])
-        found = score[q, at]
-        finite = found > -np.inf
-        q, at, found = q[finite], at[finite], found[finite]
-        open_ = rest[q]
-        for j in range(0, int(queries.shape[1] - cut.min(initial=queries.shape[1])), _PROBE):
-            place = cut[q, None] + j + np.arange(_PROBE)
-            inside = place < queries.shape[1]
-            term = order[q[:, None], np.minimum(place, queries.shape[1] - 1)]
-            found = found + (queries[q[:, None], term] * self.rows[at[:, None], term] * inside).sum(axis=1)
-            open_ = open_ - (upper[q[:, None], term] * inside).sum(axis=1)
-            keep = found + open_ >= limits[q]
-            q, at, found, open_ = q[keep], at[keep], found[keep], open_[keep]
+        done, step = cut, _PROBE
+        while True:
+            rest = np.where(rank < done[:, None], 0.0, upper).sum(axis=1)
+            competitive = score >= (limits - rest)[:, None]
+            if int(done.min()) >= queries.shape[1] or np.count_nonzero(competitive) <= _SPARSE * score.size:
+                break
+            # Still many: the next terms are traversed for all rows as well.
+            part = (rank >= done[:, None]) & (rank < (done + step)[:, None])
+            score += np.where(part, queries, 0.0) @ self.rows.T
+            done, step = np.minimum(done + step, queries.shape[1]), 2 * step
+        q, at = np.nonzero(competitive)
+        own_row = np.isneginf(score[q, at])
+        q, at = q[~own_row], at[~own_row]
+        found = np.concatenate([np.empty(0), *[np.einsum("pd,pd->p", queries[q[x:x + _PAIRS]], self.rows[at[x:x + _PAIRS]])
+                                               for x in range(0, len(q), _PAIRS)]])
+        keep = found >= limits[q]
+        q, at, found = q[keep], at[keep], found[keep]
         # Rows lie in order of their ids, so ties go to the smaller one.
         ahead = np.lexsort((at, -found, q))
         q, at, found = q[ahead], at[ahead], found[ahead]
