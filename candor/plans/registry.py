@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from candor.functions.ranking import global_row_number
 from candor.functions.scalars import friend_count, rounded
-from candor.operators import (authenticity, communities, features, forest, graph, impact, prepare,
+from candor.operators import (authenticity, communities, features, forest, graph, impact, level_forest, prepare,
                               records, reports, rules, spikes)
 from candor.plans.chain import analyse
 from candor.plans.oracle import (EVENT_DOUBLES, FEATURE_DOUBLES, STAR_DOUBLES, SUSBIZ_DOUBLES, VOLUME_DOUBLES,
@@ -1055,6 +1055,119 @@ def model_zero_friend_counts(i):
     return reports.zero_friend_counts(i.once("model-scores", i.model_scores))
 
 
+SMALL_FOREST = [forest.ForestConfig("small", 0.05, 10, 1.0, 42, 16), forest.ForestConfig("small_half", 0.05, 10, 0.5, 7, 16)]
+
+
+def _small_forest_sql(last: str, depth: int = 4) -> str:
+    """Growth written out level by level: samples of 16 rows reach depth 4."""
+    names = {c.name: f"{c.name}:{c.seed}" for c in SMALL_FOREST}
+    usable = {c.name: max(1, int(c.max_features * len(FEATURE_COLUMNS))) for c in SMALL_FOREST}
+
+    def u(*salt: str) -> str:
+        return f"CAST('0x' || substr(md5(concat_ws(':', {', '.join(salt)})), 1, 13) AS BIGINT) / {float(1 << 52)}"
+
+    configs = ", ".join(f"('{n}', '{names[n]}', {usable[n]})" for n in names)
+    filled = ", ".join(f"coalesce(f.{c}::DOUBLE, m.{c}, 0)" for c in FEATURE_COLUMNS)
+    parts = [f"""
+    m AS (SELECT {", ".join(f"median({c})::DOUBLE AS {c}" for c in FEATURE_COLUMNS)} FROM features
+          WHERE num_friends IS NOT NULL AND account_age_days IS NOT NULL),
+    input AS MATERIALIZED (SELECT user_id, [{filled}] AS x FROM features f CROSS JOIN m
+          WHERE f.num_friends IS NOT NULL AND f.account_age_days IS NOT NULL),
+    configs(config, salt, n_usable) AS (VALUES {configs}),
+    rolled AS (
+      SELECT config, salt, n_usable, tree_id, x, user_id, {u("salt", "'row'", "tree_id", "user_id")} AS roll
+      FROM input, configs, range(0, {SMALL_FOREST[0].n_estimators}) AS t(tree_id)),
+    picked AS MATERIALIZED (
+      SELECT * FROM rolled
+      QUALIFY row_number() OVER (PARTITION BY config, tree_id ORDER BY roll, user_id) <= {SMALL_FOREST[0].max_samples}),
+    chosen AS MATERIALIZED (
+      SELECT config, tree_id, i FROM (
+        SELECT config, tree_id, i, n_usable, row_number() OVER (
+          PARTITION BY config, tree_id ORDER BY {u("salt", "'feature'", "tree_id", "i")}, i) AS r
+        FROM configs, range(0, {SMALL_FOREST[0].n_estimators}) AS t(tree_id), range(0, {len(FEATURE_COLUMNS)}) AS f(i))
+      WHERE r <= n_usable),
+    rows_0 AS (SELECT config, salt, tree_id, x, 1::BIGINT AS node_id FROM picked)"""]
+    for d in range(depth + 1):
+        parts.append(f"""
+    size_{d} AS MATERIALIZED (SELECT config, salt, tree_id, node_id, count(*) AS size FROM rows_{d} GROUP BY ALL),
+    cut_{d} AS MATERIALIZED (
+      SELECT * FROM (
+        SELECT r.config, r.salt, r.tree_id, node_id, i, min(x[i + 1]) AS low, max(x[i + 1]) AS high
+        FROM rows_{d} r JOIN chosen USING (config, tree_id) GROUP BY ALL)
+      WHERE low < high AND {d} < {depth}
+      QUALIFY row_number() OVER (PARTITION BY config, tree_id, node_id
+                                 ORDER BY {u("salt", "'cut'", "tree_id", "node_id", "i")}, i) = 1),
+    at_{d} AS (SELECT *, low + {u("salt", "'at'", "tree_id", "node_id")} * (high - low) AS t FROM cut_{d}),
+    nodes_{d} AS MATERIALIZED (
+      SELECT s.config, s.tree_id, s.node_id, coalesce(i, -1) AS feature,
+             CASE WHEN t < high THEN t ELSE low END AS threshold, size, {d} AS depth
+      FROM size_{d} s LEFT JOIN at_{d} USING (config, tree_id, node_id)),
+    rows_{d + 1} AS MATERIALIZED (
+      SELECT config, salt, tree_id, x, 2 * node_id + CAST(x[feature + 1] > threshold AS BIGINT) AS node_id
+      FROM rows_{d} JOIN nodes_{d} USING (config, tree_id, node_id) WHERE feature >= 0)""")
+    parts.append("\n    nodes AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM nodes_{d}" for d in range(depth + 1)) + ")")
+    step = "LEFT JOIN nodes n{d} ON n{d}.config = w.config AND n{d}.tree_id = w.tree_id AND n{d}.node_id = w.node_{d}"
+    parts.append("""
+    walk_0 AS (SELECT user_id, x, config, tree_id, 1::BIGINT AS node_id
+               FROM input, configs, range(0, 10) AS t(tree_id))""")
+    for d in range(depth):
+        parts.append(f"""
+    walk_{d + 1} AS (
+      SELECT w.user_id, w.x, w.config, w.tree_id,
+             CASE WHEN feature < 0 THEN w.node_id ELSE 2 * w.node_id + CAST(x[feature + 1] > threshold AS BIGINT) END AS node_id
+      FROM walk_{d} w JOIN nodes USING (config, tree_id, node_id))""")
+    mean = "CASE WHEN {n} > 2 THEN 2.0 * (ln({n} - 1.0) + 0.5772156649015329) - 2.0 * ({n} - 1.0) / {n} WHEN {n} = 2 THEN 1.0 ELSE 0.0 END"
+    parts.append(f"""
+    raw AS MATERIALIZED (
+      SELECT config, user_id, pow(2.0, -(sum(depth + {mean.format(n="size")}) / 10) / max(norm)) AS raw_score
+      FROM walk_{depth} JOIN nodes USING (config, tree_id, node_id)
+      JOIN (SELECT config, max({mean.format(n="size")}) AS norm FROM nodes WHERE node_id = 1 GROUP BY config) USING (config)
+      GROUP BY config, user_id),
+    scored AS (
+      SELECT config, user_id, raw_score - cut AS anomaly_score, CASE WHEN raw_score > cut THEN 1 ELSE 0 END AS is_anomaly,
+             row_number() OVER (PARTITION BY config ORDER BY round(raw_score, 9) DESC, user_id) AS anomaly_rank
+      FROM raw JOIN (SELECT config, quantile_cont(raw_score, 0.95) AS cut FROM raw GROUP BY config) USING (config))""")
+    return "SELECT * FROM (WITH " + ",".join(parts) + last + ")"
+
+
+def _small_forest(i) -> DataFrame:
+    return level_forest.grown(i.once("model-input", lambda: forest.model_input(i.once("features", i.features))), SMALL_FOREST)
+
+
+def _small_scores(i, config: forest.ForestConfig) -> DataFrame:
+    """Scores, flags and ranks by the level-wise forest; equal scores are equal to nine digits."""
+    data, nodes = i.once("model-input", lambda: forest.model_input(i.once("features", i.features))), i.once("nodes", lambda: _small_forest(i))
+    raw = stored(level_forest.raw_scores(data, nodes, config).select(
+        "user_id", "raw_score", F.round("raw_score", 9).alias("near")), "raw-scores")
+    ranked = global_row_number(raw, [F.desc("near"), F.col("user_id")], "_rank")
+    return forest.flag_scores(ranked, config.contamination).select(
+        F.lit(config.name).alias("config"), "user_id", "anomaly_score", "is_anomaly", F.col("_rank").alias("anomaly_rank"))
+
+
+@query("small_forest_trees", ["features"], _small_forest_sql("\n    SELECT * FROM nodes"), ["threshold"])
+def small_forest_trees(i):
+    """Trees of two small configurations, node by node."""
+    return _small_forest(i)
+
+
+@query("small_forest_scores", ["features"], _small_forest_sql("""
+    SELECT user_id, anomaly_score, is_anomaly, anomaly_rank, anomaly_rank AS output_place FROM scored WHERE config = 'small'"""),
+       ["anomaly_score"])
+def small_forest_scores(i):
+    """Score, flag and rank of every complete user, and each one's place in the ordered output."""
+    ordered = _small_scores(i, SMALL_FOREST[0]).drop("config").orderBy("anomaly_rank").withColumn("_at", F.monotonically_increasing_id())
+    return global_row_number(stored(ordered, "ordered"), [F.col("_at")], "output_place").drop("_at")
+
+
+@query("small_forest_sweep", ["features"], _small_forest_sql("""
+    SELECT config, stddev_pop(anomaly_score) AS score_std, sum(is_anomaly) AS n_anomalies, avg(anomaly_score) AS score_mean,
+           max(anomaly_score) AS score_max FROM scored GROUP BY config"""), ["score_std", "score_mean", "score_max"])
+def small_forest_sweep(i):
+    """The configuration summary over the level-wise forest."""
+    both = _small_scores(i, SMALL_FOREST[0]).unionByName(_small_scores(i, SMALL_FOREST[1])).withColumn("max_features", F.lit(0.0))
+    return forest.anomaly_config_summary(both).drop("max_features")
+
+
 @query("anomaly_config_summary")
 def anomaly_config_summary(i):
     return forest.anomaly_config_summary(forest.config_scores(i.once("features", i.features)))

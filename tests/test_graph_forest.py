@@ -210,3 +210,30 @@ def test_full_chain(spark):
     rows = QUERIES["full_chain_authenticity"](spark, SF).collect()
     assert rows and all(r["authenticity_score"] in range(0, 101, 20) for r in rows)
     assert all((r["authenticity_score"] >= 50) == (r["is_suspicious"] == 1) for r in rows)
+
+
+def test_level_forest_scores_equal_the_array_scorer(spark):
+    import random
+
+    from candor.operators import level_forest
+    from candor.schemas import FEATURE_COLUMNS
+
+    pick = random.Random(4)
+    rows = [(i, *[float(pick.choice([0, 1, 2, pick.gauss(0, 3)])) for _ in FEATURE_COLUMNS]) for i in range(300)]
+    data = spark.createDataFrame(rows, "user_id long, " + ", ".join(f"{c} double" for c in FEATURE_COLUMNS))
+    configs = [forest.ForestConfig("a", n_estimators=7, max_samples=32), forest.ForestConfig("b", n_estimators=5, max_features=0.3, seed=1)]
+    nodes = level_forest.grown(data, configs)
+    table = nodes.toPandas()
+    for c in configs:
+        own = table[table["config"] == c.name]
+        assert (own[own["node_id"] == 1]["size"] == min(c.max_samples, 300)).all() and own["tree_id"].nunique() == c.n_estimators
+        by = {(t, n): (f, z) for t, n, f, z in own[["tree_id", "node_id", "feature", "size"]].itertuples(index=False)}
+        assert all(z == by[t, 2 * n][1] + by[t, 2 * n + 1][1] for (t, n), (f, z) in by.items() if f >= 0)
+        assert all(len({f for (t, _), (f, _) in by.items() if t == tree and f >= 0}) <= max(1, int(7 * c.max_features)) for tree in range(c.n_estimators))
+        arrays = nodes.selectExpr("config", "tree_id", "int(node_id - 1) AS node_id", "feature", "threshold",
+                                  "int(2 * node_id - 1) AS left", "int(2 * node_id) AS right", "size", "depth")
+        want = {r.user_id: r.raw_score for r in forest.isolation_scores(data, arrays, c).collect()}
+        got = {r.user_id: r.raw_score for r in level_forest.raw_scores(data, nodes, c).collect()}
+        assert len(got) == 300 and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+    again = {tuple(r) for r in level_forest.grown(data.repartition(5), configs).collect()}
+    assert again == {tuple(r) for r in nodes.collect()}
