@@ -163,6 +163,13 @@ def enrich_business(rows: DataFrame, restaurants: DataFrame) -> DataFrame:
     return rows.join(info, "business_id", "left")
 
 
+def _with_ids(rows: DataFrame, ids: list) -> DataFrame:
+    """Rows of the wanted businesses; ids take the column's type, so that the scan itself can choose. Others match nothing."""
+    kind = rows.schema["business_id"].dataType
+    wanted = [F.lit(str(i)).try_cast(kind) for i in ids]
+    return rows.filter(F.col("business_id").isin(wanted))
+
+
 def business_impact(volume: DataFrame, rating: DataFrame, restaurants: DataFrame | None = None,
                     ids: list | None = None) -> DataFrame:
     """Volume and rating impact side by side for every event known to either.
@@ -171,8 +178,7 @@ def business_impact(volume: DataFrame, rating: DataFrame, restaurants: DataFrame
     if neither side knows any of them a ``LookupError`` is raised.
     """
     if ids is not None:
-        wanted = F.col("business_id").cast("string").isin([str(i) for i in ids])
-        volume, rating = volume.filter(wanted), rating.filter(wanted)
+        volume, rating = _with_ids(volume, ids), _with_ids(rating, ids)
         if volume.isEmpty() and rating.isEmpty():
             raise LookupError(f"no impact is known for {ids}")
     right = rating_delta(rating).withColumnRenamed("delta_after_before", "rating_change")

@@ -162,7 +162,8 @@ def histogram(df: DataFrame, column: str, bins: int, right_closed: bool = False)
     """Equal-width bins between minimum and maximum, empty ones included.
 
     Bins are closed on the left and the last also on the right, or the other
-    way round with ``right_closed``.
+    way round with ``right_closed``; then the first edge lies a thousandth of the
+    whole width below the minimum, which its bin holds too.
     """
     x = F.col(column)
     known = df.filter(x.isNotNull()).select(x.cast("double").alias("x"))
@@ -179,7 +180,8 @@ def histogram(df: DataFrame, column: str, bins: int, right_closed: bool = False)
     edges = (
         ends.select("ends.lo", ((F.col("ends.hi") - F.col("ends.lo")) / bins).alias("width"),
                     F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-        .select("bin", (F.col("lo") + F.col("bin") * F.col("width")).alias("bin_start"),
+        .select("bin", (F.col("lo") + F.col("bin") * F.col("width") - F.when(
+                    (F.col("bin") == 0) & F.lit(right_closed), F.col("width") * bins * 0.001).otherwise(0.0)).alias("bin_start"),
                 (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("bin_end"))
     )
     return edges.join(counted, "bin", "left").select(

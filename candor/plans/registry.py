@@ -513,16 +513,27 @@ def user_clusters(i):
     return communities.user_clusters(communities.louvain_communities(i.graph()))
 
 
-@query("planted_clusters", [], """
-    SELECT c_custkey AS user_id, dense_rank() OVER (ORDER BY c_custkey // 6) - 1 AS cluster_id, n AS cluster_size
-    FROM (SELECT c_custkey, count(*) OVER (PARTITION BY c_custkey // 6) AS n FROM customer) WHERE n >= 3""")
+CLIQUE = 40  # so large that joining two neighbours never pays, for up to some 60,000 customers
+
+
+@query("planted_clusters", [], f"""
+    SELECT c_custkey AS user_id, dense_rank() OVER (ORDER BY c_custkey // {CLIQUE}) - 1 AS cluster_id, n AS cluster_size
+    FROM (SELECT c_custkey, count(*) OVER (PARTITION BY c_custkey // {CLIQUE}) AS n FROM customer) WHERE n >= 3""")
 def planted_clusters(i):
-    """Customers in groups of six by id, all linked within a group: the best labelling is the groups."""
-    c = views.customers(i.spark, i.sf)
-    other = c.select(F.col("user_id").alias("user_b"), F.expr("user_id div 6").alias("team"))
-    links = (c.select(F.col("user_id").alias("user_a"), F.expr("user_id div 6").alias("team")).join(other, "team")
+    """Customers in groups by id, all linked within a group, and groups linked in a ring: the best labelling is the groups.
+
+    The links between groups join everything, so plain components would not do.
+    """
+    c = views.customers(i.spark, i.sf).select("user_id", F.expr(f"user_id div {CLIQUE}").alias("team"))
+    other = c.select(F.col("user_id").alias("user_b"), "team")
+    links = (c.select(F.col("user_id").alias("user_a"), "team").join(other, "team")
              .filter("user_a < user_b").select("user_a", "user_b"))
-    return communities.user_clusters(communities.louvain_communities(links))
+    ends = stored(c.groupBy("team").agg(F.min("user_id").alias("first"), F.max("user_id").alias("last")), "teams")
+    after = ends.select((F.col("team") - 1).alias("team"), F.col("first").alias("next"))
+    around = ends.agg(F.max_by("last", "team").alias("user_b"), F.min_by("first", "team").alias("user_a"),
+                      F.count(F.lit(1)).alias("n")).where("n >= 3").select("user_a", "user_b")
+    ring = ends.join(after, "team").select(F.col("last").alias("user_a"), F.col("next").alias("user_b")).unionByName(around)
+    return communities.user_clusters(communities.louvain_communities(links.unionByName(ring)))
 
 
 @query("user_cluster_invariants", ["pairs"], """
@@ -803,9 +814,10 @@ def overview_kpis(i):
     return reports.overview_kpis(i.suspicious_businesses(), i.rating())
 
 
-def _histogram_sql(bins: int, index: str) -> str:
+def _histogram_sql(bins: int, index: str, below: float = 0.0) -> str:
     return f"""
-        SELECT {bins} AS bins, CAST(b.bin AS INTEGER) AS bin, lo + b.bin * width AS bin_start,
+        SELECT {bins} AS bins, CAST(b.bin AS INTEGER) AS bin,
+               lo + b.bin * width - CASE WHEN b.bin = 0 THEN width * {bins} * {below} ELSE 0 END AS bin_start,
                lo + (b.bin + 1) * width AS bin_end, count(d) AS events
         FROM (SELECT min(delta_after_before) AS lo, (max(delta_after_before) - min(delta_after_before)) / {bins} AS width
               FROM deltas) CROSS JOIN range({bins}) b(bin)
@@ -817,7 +829,7 @@ def _histogram_sql(bins: int, index: str) -> str:
 
 @query("delta_histogram", ["deltas"],
        _histogram_sql(44, "floor((delta_after_before - lo2) / width2)") + " UNION ALL "
-       + _histogram_sql(24, "ceil((delta_after_before - lo2) / width2) - 1"), ["bin_start", "bin_end"])
+       + _histogram_sql(24, "ceil((delta_after_before - lo2) / width2) - 1", 0.001), ["bin_start", "bin_end"])
 def delta_histogram(i):
     return reports.delta_histogram(i.once("rating", i.rating))
 
@@ -1017,9 +1029,9 @@ def user_anomaly_scores(i):
            count(*) AS highest_rank, count(*) AS ranks, 0 AS out_of_order FROM scores""")
 def model_invariants(i):
     """Ranks are a permutation in the order of the scores, and the highest twentieth is flagged."""
-    order = Window.partitionBy(F.expr("anomaly_rank div 1000")).orderBy("anomaly_rank")
-    scores = i.model_scores().withColumn("before", F.lag("anomaly_score").over(order))
-    return scores.agg(
+    scores = stored(i.model_scores().select("anomaly_rank", "anomaly_score", "is_anomaly"), "ranked")
+    ahead = scores.select((F.col("anomaly_rank") + 1).alias("anomaly_rank"), F.col("anomaly_score").alias("before"))
+    return scores.join(ahead, "anomaly_rank", "left").agg(
         F.count(F.lit(1)).alias("users"), F.count_if(F.expr("is_anomaly = 1")).alias("flagged"), F.min("anomaly_rank").alias("lowest_rank"),
         F.max("anomaly_rank").alias("highest_rank"), F.countDistinct("anomaly_rank").alias("ranks"),
         F.count_if(F.expr("anomaly_score > before")).alias("out_of_order"))

@@ -55,3 +55,16 @@ def test_scratch_goes_with_its_scope_and_settings_stay(spark):
         assert tables.path_exists(spark, inner)
     assert not tables.path_exists(spark, inner)
     assert kept.count() == 3 and spark.conf.get("spark.checkpoint.dir", None) == before
+
+
+def test_ids_of_a_business_lookup_reach_the_scan(spark, tmp_path):
+    from candor.operators import authenticity
+
+    rows = spark.range(1000).selectExpr("id AS business_id", "date '2020-01-01' AS spike_date", "id * 2 AS x")
+    for kind, wanted in (("long", [7, "8", "none"]), ("string", ["7", 8])):
+        path = str(tmp_path / kind)
+        rows.withColumn("business_id", rows.business_id.cast(kind)).orderBy("business_id").write.parquet(path)
+        found = authenticity._with_ids(spark.read.parquet(path), wanted)
+        assert sorted(str(r.business_id) for r in found.collect()) == ["7", "8"]
+        pushed = [x for x in found._jdf.queryExecution().toString().splitlines() if "PushedFilters" in x]
+        assert pushed and all("business_id" in x.split("PushedFilters")[1] and "7" in x for x in pushed)
