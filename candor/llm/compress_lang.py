@@ -9,6 +9,7 @@ from statistics import median
 
 import numpy as np
 import pandas as pd
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +28,8 @@ LEVEL = 6
 MIN_MARGIN = 0.005         # below it the two smallest encodings are too close to tell
 SHORT_CHARS, REPEATS = 300, 6  # shorter texts are repeated: zstandard keeps a few bytes raw, whatever the dictionary
 
-_NOISE = re.compile(r"[\W\d_]+")
+_NOISE, _LETTER = regex.compile(r"[^\p{L}\p{M}]+"), regex.compile(r"\p{L}")
+_ASCII_NOISE = re.compile(r"[^a-z]+")
 
 
 def fold(doc_id: Column) -> Column:
@@ -35,9 +37,10 @@ def fold(doc_id: Column) -> Column:
 
 
 def _letters(text: str | None) -> str:
-    """Lower-case letters with single blanks, also at both ends: case, digits and marks say nothing of a language here."""
-    words = _NOISE.sub(" ", text.lower()).strip() if text else ""
-    return f" {words} " if words else ""
+    """Lower-case letters and their marks with single blanks, also at both ends: case, digits and signs say nothing of a language here."""
+    text = text.lower() if text else ""
+    words = (_ASCII_NOISE if text.isascii() else _NOISE).sub(" ", text).strip()
+    return f" {words} " if _LETTER.search(words) else ""
 
 
 def learn(docs: DataFrame) -> dict[str, bytes]:

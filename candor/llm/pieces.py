@@ -22,6 +22,7 @@ _OFFSET = 2.7              # of the rank in Zipf's law
 _FLUSH = 200_000           # chunks sampled at once
 _TABLE_ARCS = 3_000_000    # the table of seen chunks starts anew beyond this size
 _LEARN = 20_000            # new chunks filtered side by side
+_SHARE_BITS = 40           # of a draw; states have the 23 bits above
 _PART_ROWS, _PART_BYTES = 1024, 4_000_000  # rows and text taken from a batch at once
 
 
@@ -113,7 +114,7 @@ class Lattice(Vocabulary):
         self.states = 0
         # Of an arc: state + cumulative chance within it, rising over the whole table; the state it
         # comes from, -1 for the chunk's start; its piece, below -1 a character in bytes as -2 - code point.
-        self.cum, self.prev, self.piece = np.empty(0), np.empty(0, np.int32), np.empty(0, np.int32)
+        self.cum, self.prev, self.piece = np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32)
 
     def _arcs(self, codes: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Start, end, piece and weight of every arc of chunks laid end to end; ``stop`` is where a place's chunk ends."""
@@ -175,11 +176,16 @@ class Lattice(Vocabulary):
         order = np.argsort(end, kind="stable")
         start, end, piece, share = start[order], end[order], piece[order], share[order]
         group = np.flatnonzero(np.concatenate(([True], end[1:] != end[:-1])))
-        upto = np.cumsum(share)
-        upto -= np.repeat(upto[group] - share[group], np.diff(np.append(group, len(end))))
-        upto[np.append(group[1:], len(end)) - 1] = 1.0
+        sizes = np.diff(np.append(group, len(end)))
+        upto = share.copy()
+        for j in range(1, int(sizes.max())):  # added up within each end, so that other chunks leave no trace
+            at = group[sizes > j] + j
+            upto[at] += upto[at - 1]
+        # State and share in one whole number: a draw never leaves its state by rounding.
+        scaled = np.minimum(np.rint(upto * 2.0 ** _SHARE_BITS), 2.0 ** _SHARE_BITS).astype(np.int64)
+        scaled[group + sizes - 1] = 1 << _SHARE_BITS
         base = self.states
-        self.cum = np.concatenate((self.cum, base + end - 1 + np.minimum(upto, 1.0)))
+        self.cum = np.concatenate((self.cum, ((base + end - 1).astype(np.int64) << _SHARE_BITS) + scaled))
         self.prev = np.concatenate((self.prev, np.where(start > first[end - 1], base + start - 1, -1).astype(np.int32)))
         self.piece = np.concatenate((self.piece, piece))
         self.known.update(zip(chunks, (base + stops - 1).tolist(), strict=True))
@@ -203,8 +209,8 @@ class Lattice(Vocabulary):
         who, state, steps, n = np.arange(len(ends)), ends, [], 0
         while len(who):
             draw = _mix(seeds[who] + np.uint64((n * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF))
-            u = (draw >> np.uint64(24)).astype(np.float64) * 2.0 ** -40
-            arc = np.searchsorted(cum, state + u, side="right")
+            u = (draw >> np.uint64(64 - _SHARE_BITS)).astype(np.int64)
+            arc = np.searchsorted(cum, (state.astype(np.int64) << _SHARE_BITS) + u, side="right")
             steps.append((who, piece[arc]))
             counts[who] += 1
             state = prev[arc]

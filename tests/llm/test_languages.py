@@ -70,3 +70,8 @@ def test_every_label_with_letters_has_a_dictionary(make):
     many = [f"l{i}" for i in range(260) for _ in range(12)]
     learned = compress_lang.learn(make([f"text of {x} {chr(97 + n % 26) * 5} {n}" for n, x in enumerate(many)], lang=many))
     assert set(learned) == set(many)
+
+
+def test_numbers_are_no_letters_and_marks_stay():
+    assert [compress_lang._letters(t) for t in ("²", "½", "Ⅷ", "1234", "́", "_", "")] == [""] * 7
+    assert compress_lang._letters("हिन्दी, Été 2") == " हिन्दी été "

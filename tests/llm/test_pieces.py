@@ -82,3 +82,20 @@ def test_tables_keep_rows_and_columns(spark, make):
 def test_given_documents_come_back(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert pieces.decode(pieces.encode(docs)).where(~F.col("text").eqNullSafe(F.col("decoded"))).isEmpty()
+
+
+def test_draws_stay_in_their_state_at_millions_of_states(monkeypatch):
+    import numpy as np
+    with open(pieces.MODEL, "rb") as file:
+        lattice = pieces.Lattice(file.read())
+    lattice.learn(["▁the", "▁cat"])
+    moved = 1 << 21
+    first = lattice.sample(np.array([lattice.known["▁the"]] * 2000), np.arange(2000, dtype=np.uint64))
+    lattice.cum = lattice.cum + (moved << pieces._SHARE_BITS)
+    lattice.prev = np.where(lattice.prev >= 0, lattice.prev + moved, -1)
+    ends, seeds = np.array([lattice.known["▁the"] + moved] * 2000), np.arange(2000, dtype=np.uint64)
+    counts, ids = lattice.sample(ends, seeds)
+    assert counts.tolist() == first[0].tolist() and ids.tolist() == first[1].tolist() and len(set(counts.tolist())) > 1
+    monkeypatch.setattr(pieces, "_mix", lambda x: np.full(len(x), (1 << 64) - 1, dtype=np.uint64))  # the largest draw there is
+    counts, ids = lattice.sample(ends, seeds)
+    assert all(lattice.decode(x) == "the" for x in np.split(ids, np.cumsum(counts)[:-1]))
