@@ -27,18 +27,66 @@ def test_quantiles_match_numpy(spark, values):
     assert got == (pytest.approx(want) if known else want)
 
 
-def test_quantiles_survive_a_useless_sketch(spark, monkeypatch):
+@pytest.mark.parametrize("bracket", [(-5.0, -5.0), (2000.0, 3000.0), (-1e300, 1e300), (10.0, 20.0)])
+def test_quantiles_survive_a_useless_sketch(spark, monkeypatch, bracket):
     df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
-    real = quantiles._walk
-
-    def narrowed(frame, targets):
-        for t in targets:
-            if t["lo"] != float("-inf"):
-                t["lo"] = t["hi"] = -5.0
-        return real(frame, targets)
-
-    monkeypatch.setattr(quantiles, "_walk", narrowed)
-    assert exact_quantiles(df, {"x": [0.5]})["x"] == [499.5]
+    real = quantiles._sketched
+
+    def useless(frame, wanted):
+        sizes, _ = real(frame, wanted)
+        return sizes, {c: [quantiles.Bracket(*bracket, 0, [])] for c in wanted}
+
+    monkeypatch.setattr(quantiles, "_sketched", useless)
+    assert exact_quantiles(df, {"x": [0.0, 0.5, 1.0]})["x"] == [0.0, 499.5, 999.0]
+
+
+@pytest.mark.parametrize("scale", ["powers", "negative powers", "both signs", "near one"])
+def test_quantiles_without_any_help_take_few_rounds(spark, monkeypatch, scale):
+    """One bracket over the whole column: values of all magnitudes, or a few steps of the last digit apart."""
+    made = {"powers": [2.0 ** i for i in range(-1000, 1000, 7)],
+            "negative powers": [-(3.0 ** i) for i in range(-600, 600, 5)],
+            "both signs": [s * 10.0 ** i for s in (-1, 1) for i in range(-300, 301, 3)] + [0.0] * 5,
+            "near one": [1.0 + i * 2.0 ** -52 for i in range(300)] + [1e9, -1e9]}[scale]
+    df = spark.createDataFrame([(v,) for v in made], "x double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.77, 0.999, 1.0]
+    rounds = []
+    count = quantiles._region_counts
+    monkeypatch.setattr(quantiles, "_sketched", lambda frame, wanted: (
+        {"x": len(made)}, {"x": [quantiles.Bracket(min(made), max(made), 0, [])]}))
+    monkeypatch.setattr(quantiles, "_region_counts", lambda *a, **k: rounds.append(1) or count(*a, **k))
+    got = exact_quantiles(df, {"x": probs})["x"]
+    ranked, want = sorted(made), []
+    for p in probs:
+        place = p * (len(made) - 1)
+        low, high = ranked[int(place)], ranked[min(len(made) - 1, -int(-place // 1))]
+        want.append(low + (high - low) * (place - int(place)))
+    assert got == pytest.approx(want, rel=1e-12, abs=0) and len(rounds) <= 8
+
+
+def test_quantiles_with_one_value_on_most_rows(spark):
+    """18 quantiles of six columns, nine tenths of the rows being one value: few scans, no window."""
+    rare = F.pmod(F.xxhash64("id"), F.lit(9973)) / 3.0
+    cols = {f"x{i}": F.when(F.pmod(F.col("id"), F.lit(10)) > 0, F.lit(float(i))).otherwise(rare * (i - 2)) for i in range(6)}
+    df = spark.range(30_000).select(*[v.alias(c) for c, v in cols.items()])
+    probs = [0.02, 0.5, 0.97]
+    got = exact_quantiles(df, {c: probs for c in cols})
+    pandas = df.toPandas()
+    for c in cols:
+        assert got[c] == pytest.approx(list(np.quantile(pandas[c], probs)))
+
+
+def test_quantile_rounds_have_no_window_and_no_sort(spark, monkeypatch):
+    plans, collect = [], type(spark.range(1)).collect
+
+    def watched(frame):
+        plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        return collect(frame)
+
+    monkeypatch.setattr(type(spark.range(1)), "collect", watched)
+    df = spark.range(1000).select(*[(F.col("id") * i).cast("double").alias(f"x{i}") for i in range(1, 7)])
+    exact_quantiles(df, {f"x{i}": [0.25, 0.5, 0.75] for i in range(1, 7)})
+    rounds = [p for p in plans if "explode" in p]
+    assert len(rounds) == 1 and not any("Window" in p or "Sort" in p for p in plans)
 
 
 def test_quantiles_of_large_table(spark):
