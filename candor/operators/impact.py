@@ -1,14 +1,16 @@
 """What happened around each spike event: flagged activity, ratings, volume.
 
-Events are the few flagged business-days, so every window is opened up into
-its single days and met by an equi-join on (business, day). That key spreads a
-dominant business over all its days, where a join on the business with a range
-condition would put it into one task.
+Where single reviews or days are wanted, an event's window is opened up into its
+days and met by an equi-join on (business, day). That key spreads a dominant
+business over all its days, where a join on the business with a range condition
+would put it into one task. Where only totals of a period are wanted, they are
+differences of running totals: two points an event and period, whatever the
+period's length.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candor.functions.scalars import int_flag, ratio
@@ -93,30 +95,66 @@ def suspicious_businesses(events: DataFrame, reviews: DataFrame, scores: DataFra
     )
 
 
+def period_totals(daily: DataFrame, events: DataFrame, periods: dict[str, tuple[int, int]],
+                  measures: list[str]) -> DataFrame:
+    """Per event: the sum of each daily measure over each period, as ``{measure}_{period}``.
+
+    ``periods`` maps a name to its first and last day relative to the event, both
+    included; ``daily`` has at most one row per business and day. The points at
+    which periods end join the days of their business, in order of date, and
+    read the running totals there. A business thus has one row per active day
+    and a few per event in its window, and one exchange by business serves the
+    running totals and the events' sums. Sums are zero where a period has no
+    days; rows without business or event day have no periods. Differences of
+    running totals are exact for whole and half numbers.
+    """
+    known = events.select(*EVENT_KEY).filter(F.col("business_id").isNotNull() & F.col("spike_date").isNotNull())
+    offsets = sorted({o for first, last in periods.values() for o in (first - 1, last)})
+    points = known.select(*EVENT_KEY, F.explode(F.array(*[F.lit(o) for o in offsets])).alias("_offset")).select(
+        "business_id", F.date_add("spike_date", F.col("_offset")).alias("_day"), "spike_date", "_offset",
+        *[F.lit(None).cast(daily.schema[m].dataType).alias(m) for m in measures])
+    days = daily.join(known.select("business_id").distinct(), "business_id", "left_semi").select(
+        "business_id", F.col("review_date").alias("_day"), F.lit(None).cast("date").alias("spike_date"),
+        F.lit(None).cast("int").alias("_offset"), *measures)
+    # A point counts its own day: days come before the points of the same date.
+    upto = (Window.partitionBy("business_id").orderBy("_day", F.col("_offset").asc_nulls_first())
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    running = days.unionByName(points).select(
+        *EVENT_KEY, "_offset", *[F.coalesce(F.sum(m).over(upto), F.lit(0)).alias(m) for m in measures])
+
+    def total(measure: str, first: int, last: int) -> Column:
+        at = F.col("_offset")
+        return (F.sum(F.when(at == last, F.col(measure)).otherwise(0))
+                - F.sum(F.when(at == first - 1, F.col(measure)).otherwise(0)))
+
+    return running.filter(F.col("_offset").isNotNull()).groupBy(*EVENT_KEY).agg(*[
+        total(m, *span).alias(f"{m}_{name}") for name, span in periods.items() for m in measures])
+
+
 def rating_periods(daily: DataFrame, events: DataFrame, before_days: int = 30, during_days: int = 0,
                    after_days: int = 30) -> DataFrame:
-    """Mean stars and rated reviews before, during and after each event, in one join.
+    """Mean stars and rated reviews before, during and after each event, from one set of running totals.
 
     ``daily`` is ``spikes.daily_totals``. A period without rated reviews has
-    null for both the mean and the count. Periods may overlap when
-    ``during_days`` is positive.
+    null for both the mean and the count, an event with none at all is absent.
+    Periods may overlap when ``during_days`` is positive. A day whose sum is NaN
+    or infinite makes the mean of its own periods NaN and touches no others.
     """
     if before_days < 1 or after_days < 1 or during_days < 0:
         raise ValueError("before_days and after_days must be >= 1 and during_days >= 0")
-    offset = F.date_diff("review_date", "spike_date")
-    periods = {
-        "before": offset.between(-before_days, -1),
-        "during": offset.between(-during_days, during_days),
-        "after": offset.between(1, after_days),
-    }
-    rated = daily.filter(F.col("n_stars") > 0).select("business_id", "review_date", "n_stars", "sum_stars")
-    window = event_days(events, max(before_days, during_days), max(after_days, during_days))
-    aggs: list[Column] = []
-    for name, inside in periods.items():
-        n = F.sum(F.when(inside, F.col("n_stars")))
-        aggs += [(F.sum(F.when(inside, F.col("sum_stars"))) / n).alias(f"avg_stars_{name}"),
-                 n.alias(f"n_reviews_{name}")]
-    return rated.join(window, ["business_id", "review_date"]).groupBy(*EVENT_KEY).agg(*aggs)
+    periods = {"before": (-before_days, -1), "during": (-during_days, during_days), "after": (1, after_days)}
+    # Kept out of the running totals, where it would reach every later day.
+    odd = F.isnan("sum_stars") | (F.abs("sum_stars") == F.lit(float("inf")))
+    rated = daily.filter(F.col("n_stars") > 0).withColumns({
+        "n_odd": int_flag(odd), "sum_stars": F.when(odd, 0.0).otherwise(F.col("sum_stars"))})
+    totals = period_totals(rated, events, periods, ["n_stars", "sum_stars", "n_odd"])
+    columns: list[Column] = []
+    for name in periods:
+        n = F.nullif(F.col(f"n_stars_{name}"), F.lit(0))
+        mean = F.when(F.col(f"n_odd_{name}") > 0, F.lit(float("nan"))).otherwise(F.col(f"sum_stars_{name}") / n)
+        columns += [mean.alias(f"avg_stars_{name}"), n.alias(f"n_reviews_{name}")]
+    any_rated = F.greatest(*[F.col(f"n_stars_{name}") for name in periods]) > 0
+    return totals.filter(any_rated).select(*EVENT_KEY, *columns)
 
 
 def rating_impact(events: DataFrame, daily: DataFrame, before_days: int = 30, during_days: int = 0,
@@ -147,21 +185,11 @@ def dedupe_events(events: DataFrame) -> DataFrame:
 
 def volume_counts(daily: DataFrame, events: DataFrame, window_days: int = VOLUME_WINDOW_DAYS) -> DataFrame:
     """Reviews before, on and after each event day; events without any review in reach are absent."""
-    day = F.col("review_date")
-    window = event_days(events, window_days, window_days)
-
-    def reviews_where(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("n_reviews"))), F.lit(0))
-
-    return (
-        daily.filter(F.col("business_id").isNotNull()).select("business_id", "review_date", "n_reviews")
-        .join(window, ["business_id", "review_date"]).groupBy(*EVENT_KEY)
-        .agg(
-            reviews_where(day < F.col("spike_date")).alias("reviews_before_spike"),
-            reviews_where(day == F.col("spike_date")).alias("reviews_on_spike_date"),
-            reviews_where(day > F.col("spike_date")).alias("reviews_after_spike"),
-        )
-    )
+    named = {"before_spike": (-window_days, -1), "on_spike_date": (0, 0), "after_spike": (1, window_days)}
+    totals = period_totals(daily, events, named, ["n_reviews"])
+    counts = {f"reviews_{name}": F.col(f"n_reviews_{name}") for name in named}
+    return totals.filter(F.greatest(*counts.values()) > 0).select(
+        *EVENT_KEY, *[n.alias(name) for name, n in counts.items()])
 
 
 def volume_impact(events: DataFrame, daily: DataFrame, window_days: int = VOLUME_WINDOW_DAYS) -> DataFrame:

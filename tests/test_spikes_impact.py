@@ -165,3 +165,49 @@ def test_bad_parameters_raise(spark, golden):
         impact.anomalous_users(scores.drop("is_anomaly"))
     with pytest.raises(ValueError):
         reports.top_suspicious_users(scores, 501)
+
+
+PERIODS = {"before": (-30, -1), "around": (-4, 4), "on": (0, 0), "after": (1, 200)}
+
+
+def test_period_totals_equal_a_plain_sum(spark):
+    """Random days and events: overlapping periods, quiet businesses, repeated events, nulls, days without events."""
+    import random
+
+    draw = random.Random(5)
+    start = dt.date(2020, 1, 1)
+    days = {(b, start + dt.timedelta(days=draw.randrange(400))): (draw.randrange(1, 9), draw.randrange(0, 90) / 2)
+            for b in ("hot", "mild", "no events") for _ in range(300 if b == "hot" else 40)}
+    daily = spark.createDataFrame([(b, d, n, s) for (b, d), (n, s) in days.items()] + [(None, start, 5, 5.0)],
+                                  "business_id string, review_date date, n long, s double")
+    marks = [(b, start + dt.timedelta(days=draw.randrange(-20, 440))) for b in ("hot", "mild", "unknown") for _ in range(60)]
+    marks = sorted(set(marks))
+    events = spark.createDataFrame([*marks, marks[0], (None, start), ("hot", None)], "business_id string, spike_date date")
+    got = {(r.business_id, r.spike_date): r for r in impact.period_totals(daily, events, PERIODS, ["n", "s"]).collect()}
+    assert set(got) == set(marks)
+    for b, at in marks:
+        times = 2 if (b, at) == marks[0] else 1
+        for name, (first, last) in PERIODS.items():
+            inside = [v for (o, d), v in days.items() if o == b and first <= (d - at).days <= last]
+            assert got[b, at][f"n_{name}"] == times * sum(n for n, _ in inside)
+            assert got[b, at][f"s_{name}"] == times * sum(s for _, s in inside)
+
+
+def test_period_totals_open_no_days(spark):
+    daily = spark.createDataFrame([("b", SPIKE, 1, 1, 5.0)],
+                                  "business_id string, review_date date, n_reviews long, n_stars long, sum_stars double")
+    events = spark.createDataFrame([("b", SPIKE)], "business_id string, spike_date date")
+    for df in (impact.rating_periods(daily, events), impact.volume_counts(daily, events)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "sequence(" not in plan and "Window" in plan
+        assert df.count() == 1
+
+
+def test_a_day_without_a_number_spoils_its_own_periods_only(spark):
+    days = [(SPIKE + dt.timedelta(days=d), [s]) for d, s in ((-200, float("nan")), (-3, 4.0), (0, 2.0), (3, float("nan")))]
+    daily = spikes.daily_totals(spark.createDataFrame(_rows(days), REVIEWS))
+    events = spark.createDataFrame([("b", SPIKE), ("b", SPIKE + dt.timedelta(days=50))], "business_id string, spike_date date")
+    row, *others = impact.rating_periods(daily, events, 60, 0, 60).orderBy("spike_date").collect()
+    assert (row.avg_stars_before, row.avg_stars_during) == (4.0, 2.0) and row.avg_stars_after != row.avg_stars_after
+    assert (row.n_reviews_after, len(others), others[0].n_reviews_before, others[0].avg_stars_after) == (1, 1, 3, None)
+    assert others[0].avg_stars_before != others[0].avg_stars_before
