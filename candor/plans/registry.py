@@ -632,7 +632,7 @@ def business_flagged_reviewers(i):
         FROM restaurants b)""")
 def business_authenticity(i):
     return authenticity.business_authenticity(
-        i.restaurants(), i.reviews(), i.cases(), i.rating(), i.flags(), i.clusters())
+        i.restaurants(), i.narrow_reviews(), i.cases(), i.rating(), i.flags(), i.clusters())
 
 
 @query("business_card", ["restaurants", "cases", "reviewers", "clusters"], """
@@ -645,7 +645,7 @@ def business_authenticity(i):
                ON r.user_id = x.user_id GROUP BY 1) k ON b.business_id = k.business_id""")
 def business_card(i):
     return authenticity.business_card(
-        i.restaurants(), i.reviews(), i.cases(), i.flags(), i.clusters())
+        i.restaurants(), i.narrow_reviews(), i.cases(), i.flags(), i.clusters())
 
 
 @query("max_delta_event", ["impact"], """
