@@ -46,7 +46,8 @@ def analyse(raw_reviews: DataFrame, raw_users: DataFrame, raw_businesses: DataFr
     members = communities.louvain_communities(graph.co_reviewer_graph(graph.flagged_reviews(reviews, scores)))
     clusters = keep("user_clusters", communities.user_clusters(members))
 
-    cases = authenticity.with_names(authenticity.suspicious_cases(suspicious), tables.business_names(restaurants))
+    cases = keep("cases", authenticity.with_names(
+        authenticity.suspicious_cases(suspicious), tables.business_names(restaurants)))
     done["business_authenticity"] = authenticity.business_authenticity(
         restaurants, reviews, cases, rating, scores, clusters)
     return done

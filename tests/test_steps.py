@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
-from candor.__main__ import STEPS, parser, run
+from candor.__main__ import RULE, STEPS, parser, run
 from candor.session import scratch_path, scratch_scope, stored
 from candor.sources import star_views as views
 from candor.sources import tables
@@ -28,8 +30,12 @@ def test_all_steps_in_order(spark):
         "model-scores": "model_scores", "model-comparison": "model_comparison", "score-metrics": "score_metrics",
         "review-spikes": "review_spikes", "similarity-edges": "user_similarity_edges",
         "user-clusters": "user_clusters", "suspicious-businesses": "suspicious_businesses",
-        "rating-impact": "rating_impact", "volume-impact": "volume_impact"}
+        "rating-impact": "rating_impact", "volume-impact": "volume_impact", "cases": "cases", "case-impact": "case_impact",
+        **{s: s.replace("-", "_") for s in (
+            "business-authenticity", "business-card", "business-impact", "top-cases", "top-users", "top-businesses",
+            "bots", "bombers", "volume-increases", "volume-decreases", "growth-cases", "strong-cases")}}
     extra = {"user-features": ["--as_of", views.AS_OF],
+             "top-users": ["--limit", "50"],
              "review-spikes": ["--min_reviews", "4", "--ratio_threshold", "2.0", "--abs_increase_threshold", "3.0"]}
     assert set(outputs) == set(STEPS)
     rows = {}
@@ -44,6 +50,33 @@ def test_all_steps_in_order(spark):
     assert rows["suspicious_businesses"] == rows["rating_impact"] == rows["volume_impact"] == 27
     assert rows["user_features"] == rows["rule_based_scores"] > rows["user_anomaly_scores"] > 0
     assert rows["model_comparison"] == 2 and rows["score_metrics"] == 1
+    assert rows["case_impact"] == rows["cases"] and rows["business_impact"] == 27
+    assert rows["business_authenticity"] == rows["business_card"] == rows["restaurants_base"]
+    assert rows["top_cases"] == min(25, rows["cases"]) and rows["top_businesses"] == 27 and rows["bots"] <= 10
+    assert 0 < rows["volume_increases"] <= 5 and 0 < rows["volume_decreases"] <= 5
+
+    # The same results as text, and the record of one business alone.
+    def again(step, *more):
+        args = [step, "--output", f"{root}/again-{step}", *more]
+        for table in STEPS[step][0]:
+            args += [f"--{table}", f"{root}/{table}"]
+        run(parser().parse_args(args), spark)
+        return f"{root}/again-{step}"
+
+    kept = spark.read.parquet(f"{root}/case_impact")
+    assert (tables.read_csv(spark, again("case-impact", "--format", "csv"), kept.schema).exceptAll(kept).isEmpty())
+    wanted = spark.read.parquet(f"{root}/business_impact").first()["business_id"]
+    lines = [json.loads(r.value) for r in spark.read.text(
+        again("business-impact", "--ids", wanted, "--format", "json")).collect()]
+    assert lines and all(x["business_id"] == wanted and x["business"]["name"] for x in lines)
+
+
+def test_whole_run_takes_the_rule_and_the_window():
+    args = parser().parse_args(["analyse", "--parquet_dir", "a", "--out_dir", "b", "--window_days", "3",
+                                "--baseline_days", "20", "--ratio_threshold", "2.5"])
+    rule = {o: getattr(args, f"rule_{o}") for o in RULE}
+    assert args.window_days == 3
+    assert rule == {**RULE, "window_days": 20, "ratio_threshold": 2.5}
 
 
 def test_scratch_goes_with_its_scope_and_settings_stay(spark):
