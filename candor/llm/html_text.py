@@ -42,7 +42,15 @@ _MARKS = ("ad ads adbox advert adverts advertisement advertising banner sponsor
           "login nav navbar navigation menu breadcrumb breadcrumbs sidebar widget widgets related recommended "
           "recommendations share sharing social footer masthead topbar comment comments commentlist disqus reply replies "
           "respond discussion pagination pager toolbar skip")
-_MARK = re.compile(rf"(?:.*[-_])?(?:{'|'.join(_MARKS.split())})(?:[-_0-9].*)?", re.IGNORECASE)
+_MARKED = frozenset(_MARKS.split())
+# Words that stand beside a mark in a name and say nothing of the content.
+_NEUTRAL = frozenset("area article bar blog block body bottom box button card cell center col column container content "
+                     "custom desktop div entry fixed form global grid group header home icon inner item items label layout "
+                     "left link links list main mobile module outer page panel post posts primary reader readers right row "
+                     "secondary section site slot small sticky story text thread title top unit user users view web wrap "
+                     "wrapper".split())
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
+_PARTS = re.compile(r"[^\W\d_]{2,}")
 _STATE = re.compile(r"(?:has|with|no|is|not)[-_]", re.IGNORECASE)
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
@@ -52,15 +60,29 @@ _KERNEL = [math.exp(-(d * d) / (2 * SIGMA * SIGMA)) for d in range(RADIUS + 1)]
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "path", "depth", "out", "article", "held")
+    __slots__ = ("tag", "parent", "path", "depth", "out", "mark", "article", "held")
 
-    def __init__(self, tag: str, parent, path: int, depth: int, out: bool):
-        self.tag, self.parent, self.path, self.depth, self.out = tag, parent, path, depth, out
+    def __init__(self, tag: str, parent, path: int, depth: int, out: bool, mark: int = 0):
+        self.tag, self.parent, self.path, self.depth, self.out, self.mark = tag, parent, path, depth, out, mark
         own = tag in ARTICLE and not out
         self.article = self if own else parent.article if parent is not None else None
         self.held = 0
 
 
+def _mark(names: list[str]) -> int:
+    """What class and id say: 2 if a name is of marks alone, or of several; 1 if a mark stands beside a word of content."""
+    best = 0
+    for name in names:
+        if _STATE.match(name):
+            continue
+        parts = _PARTS.findall(_HUMP.sub("-", name).lower())
+        marks = sum(x in _MARKED for x in parts)
+        if marks:
+            known = all(x in _MARKED or x in _NEUTRAL for x in parts)
+            best = max(best, 2 if known or marks > 1 else 1)
+    return best
+
+
 class _Blocks(HTMLParser):
     """Splits a page into blocks of text, each with its innermost block element."""
 
@@ -88,22 +110,21 @@ class _Blocks(HTMLParser):
                 self.blocks.append((self.open[-1], text, min(self._linked, len(text))))
             self._text, self._linked = [], 0
 
-    def _margin(self, tag: str, attrs: list, above: _Element) -> bool:
+    def _margin(self, tag: str, attrs: list, above: _Element) -> tuple[bool, int]:
+        """Whether element, role or style put this out of the article, and the mark of its class and id."""
         if tag in UNSEEN or tag in MARGIN or tag == "head":
-            return True
+            return True, 0
         if tag == "header" and not above.article:
-            return True
+            return True, 0
         named = []
         for key, value in attrs:
             if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and _HIDDEN.search(value or "")):
-                return True
+                return True, 0
             if key == "role" and (value or "").lower() in _ROLES:
-                return True
+                return True, 0
             if key in ("class", "id") and value:
                 named += value.split()
-        if tag in ("html", "body", "main"):
-            return False
-        return any(_MARK.fullmatch(name) and not _STATE.match(name) for name in named)
+        return False, 0 if tag in ("html", "body", "main") else _mark(named)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "br" or tag == "hr" or tag == "wbr":
@@ -114,9 +135,11 @@ class _Blocks(HTMLParser):
             return
         if tag in VOID:
             return
-        if tag in INLINE and not (attrs and self._margin(tag, attrs, self.open[-1])):
-            self._links += tag == "a"
-            return
+        if tag in INLINE:
+            out, mark = self._margin(tag, attrs, self.open[-1]) if attrs else (False, 0)
+            if not out and mark < 2:
+                self._links += tag == "a"
+                return
         self._end_block()
         ends, borders = CLOSES.get(tag, ((), ()))
         while len(self.open) > 1:
@@ -131,8 +154,8 @@ class _Blocks(HTMLParser):
         # Every article has paths of its own, so that a teaser is not judged by the article beside it.
         step = f"{tag} {len(self.elements)}" if tag in ARTICLE else tag
         path = self.paths.setdefault((above.path, step), len(self.paths) + 1)
-        out = above.out or self._margin(tag, attrs, above)
-        self.open.append(_Element(tag, above, path, above.depth + 1, out))
+        out, mark = self._margin(tag, attrs, above)
+        self.open.append(_Element(tag, above, path, above.depth + 1, above.out or out, mark))
         self.elements.append(self.open[-1])
         self.counts[tag] += 1
 
@@ -166,8 +189,67 @@ class _Blocks(HTMLParser):
             self._linked += len(data.strip())
 
 
-def _selected(blocks: list[tuple[_Element, str, int]]) -> set[int]:
-    """The content paths: length and punctuation per path, smoothed over neighbours, fused, and cut on a scale of logarithms."""
+def _ratio(text: str, linked: int) -> float:
+    """One block's text outside links, times punctuation, as a logarithm."""
+    return math.log1p((len(text) - linked) * (1 + len(_STOPS.findall(text))))
+
+
+def _judge_clear_marks(elements: list[_Element], blocks: list[tuple[_Element, str, int]]) -> None:
+    """Elements whose names are of marks alone go, unless the page's article lies in them.
+
+    It does if the element has more text than all that no clear mark covers, and
+    holds the page's title, or several sentences where no other text has one.
+    """
+    # Of each element: the nearest clearly marked one around it; of those: text and sentences no inner one covers.
+    near = {elements[0]: elements[0]}
+    for e in elements[1:]:
+        near[e] = e if e.mark == 2 and not e.out else near[e.parent]
+    size, prose, titles = Counter(), Counter(), Counter()
+    own_size, own_prose = Counter(), Counter()
+    for e, text, linked in blocks:
+        sentence = _ratio(text, linked) >= math.log1p(PROSE)
+        size[e] += len(text)
+        prose[e] += sentence
+        titles[e] += e.tag == "h1"
+        own_size[near[e]] += len(text)
+        own_prose[near[e]] += sentence
+    for e in reversed(elements[1:]):
+        for sums in (size, prose, titles):
+            if e in sums:
+                sums[e.parent] += sums[e]
+    outside = {elements[0]: (0, 0)}
+    for e in elements[1:]:
+        e.out = e.out or e.parent.out
+        if e.mark == 2 and not e.out:
+            around = near[e.parent]
+            text, sentences = outside[around][0] + own_size[around], outside[around][1] + own_prose[around]
+            outside[e] = (text, sentences)
+            e.out = not (size[e] > text and (titles[e] or (prose[e] > 1 and not sentences)))
+
+
+def _judge_faint_marks(elements: list[_Element], blocks: list[tuple[_Element, str, int]], means: dict[int, float], cut: float) -> bool:
+    """Elements with a mark among other words go if their ratio is low or they are links by half; whether any went."""
+    if all(e.mark != 1 or e.out for e in elements):
+        return False
+    size, low, links = Counter(), Counter(), Counter()
+    for e, text, linked in blocks:
+        size[e] += len(text)
+        links[e] += linked
+        low[e] += len(text) * (_ratio(text, linked) + means[e.path] < 2 * cut)
+    for e in reversed(elements[1:]):
+        if e in size:
+            for sums in (size, low, links):
+                sums[e.parent] += sums[e]
+    went = False
+    for e in elements[1:]:
+        e.out = e.out or e.parent.out
+        if e.mark == 1 and not e.out and (2 * low[e] > size[e] or links[e] > LINK_SHARE * size[e]):
+            e.out = went = True
+    return went
+
+
+def _selected(blocks: list[tuple[_Element, str, int]]) -> tuple[dict[int, float], float]:
+    """Paths by length and punctuation, smoothed over neighbours and fused, as logarithms, and the cut for content paths."""
     totals: dict[int, list[float]] = {}
     for e, text, linked in blocks:
         t = totals.setdefault(e.path, [0, 0, 0])
@@ -195,8 +277,7 @@ def _selected(blocks: list[tuple[_Element, str, int]]) -> set[int]:
     for (e, _, _), z in zip(blocks, fused, strict=True):
         by_path.setdefault(e.path, []).append(z)
     means = {p: sum(zs) / len(zs) for p, zs in by_path.items()}
-    cut = min(cut, max(means.values()))
-    return {p for p, z in means.items() if z >= cut}
+    return means, min(cut, max(means.values()))
 
 
 def _flow(e: _Element) -> _Element:
@@ -229,9 +310,18 @@ def main_text(html: str | None) -> str:
     parser = _Blocks()
     parser.feed(html)
     blocks = [b for b in parser.finish() if not b[0].out]
+    if any(e.mark == 2 for e in parser.elements):
+        _judge_clear_marks(parser.elements, blocks)
+        blocks = [b for b in blocks if not b[0].out]
     if not blocks:
         return ""
-    paths = _selected(blocks)
+    means, cut = _selected(blocks)
+    if _judge_faint_marks(parser.elements, blocks, means, cut):
+        blocks = [b for b in blocks if not b[0].out]
+        if not blocks:
+            return ""
+        means, cut = _selected(blocks)
+    paths = {p for p, z in means.items() if z >= cut}
     chosen = [b for b in blocks if b[0].path in paths]
     named = sum(len(t) for e, t, _ in chosen if e.article)
     if 2 * named >= sum(len(t) for _, t, _ in chosen):
@@ -290,9 +380,13 @@ def page_texts(pages: DataFrame) -> DataFrame:
     candidates. Within the smallest element around all selected blocks,
     paragraphs, list items, cells and quotes that run in the same element as
     selected text stay whatever their ratio, unless they are links by half.
-    Headings stay or go with their section. Menus, headers, footers, sidebars, notices, adverts,
-    forms and comments, told by element, role, class or id, scripts, styles and
-    hidden elements never count. Character references are decoded; white space in
+    Headings stay or go with their section. Menus, headers, footers, sidebars and
+    forms told by element or role, scripts, styles and hidden elements never
+    count. A class or id is evidence only: one made of marks (``comment-list``)
+    puts an element out unless it holds more text than all unmarked elements and
+    the page's title, or the only sentences; one with a word of content beside
+    the mark (``related-work``) puts it out if its ratio is below the cut or it
+    is links by half. Character references are decoded; white space in
     a block, whatever its kind, becomes one blank. Null or empty html, or a page
     without text, gives an empty text. Rows are judged one by one, repeats alike;
     other columns are not read.

@@ -95,3 +95,39 @@ def test_ratios_choose_the_blocks_of_articles_too():
     assert paras[5].strip() in main_text(f"<body>{teaser}<div>{text}</div></body>")
     both = main_text(f"<body><article>{text}</article><article>{text}</article></body>")
     assert both == " ".join(p.strip() for p in paras + paras)
+
+
+PARAS = "".join(f"<p>Paragraph {i} is text, with commas, and stops. It goes on for a while; so it has a ratio.</p>" for i in range(4))
+PLAIN = " ".join(re.findall("<p>(.*?)</p>", PARAS))
+
+
+def test_a_mark_is_no_sentence():
+    assert main_text(f'<article class="post social-science"><h1>A title</h1>{PARAS}</article>') == f"A title {PLAIN}"
+    nav = '<div class="sidebar"><a href=/>One</a><p>Popular, this week. Read it, all.</p></div>'
+    for name in ("layout sidebar-right", "promo", "post sponsored"):
+        assert main_text(f'<body><div class="{name}"><h1>A title</h1>{nav}{PARAS}</div></body>') == f"A title {PLAIN}"
+        assert main_text(f'<body><div class="{name}">{nav}{PARAS}</div></body>') == PLAIN
+    extra = "It was said, by many, that the work before this one had faults; they are named here, one by one."
+    for part in (f'<section id="related-work"><h2>Related work</h2><p>{extra}</p></section>',
+                 f'<div class="notice-period"><h2>Related work</h2><p>{extra}</p></div>',
+                 f'<h2>Related work</h2><p id="replies-to-critics">{extra}</p>',
+                 '<h2>Related work</h2><p id="replies-to-critics">The critics were wrong, he said.</p>'):
+        want = " ".join(re.sub("<[^>]*>", " ", part).split())
+        for tag in ("main", "div", "article"):
+            assert main_text(f"<body><{tag}><h1>A title</h1>{PARAS}{part}</{tag}></body>") == f"A title {PLAIN} {want}"
+
+
+def test_marked_parts_go():
+    one = "I agree with all of it, fully. Well said, and in good time; more of this, please."
+    comments = "".join(f'<article class="comment"><p>{one}</p></article>' for _ in range(30))
+    for part in (f'<section id="comments">{comments}</section>', f'<div class="commentList">{comments}</div>',
+                 f'<div class="post-comments">{comments}</div>', f"{comments}",
+                 f'<div class="cookie-notice">We use cookies, and say so; at length. {one} Accept?</div>',
+                 f'<div id="newsletter-signup-hero"><p>{one}</p></div>', f'<div class="ad-300x250"><p>{one}</p></div>',
+                 '<div class="related-stories-extra"><ul><li><a href=/1>One story, told at length</a></ul></div>',
+                 '<p class="promo-teaser">Buy now</p>', '<div class="social-icons-strip">Like, follow</div>'):
+        for tag in ("main", "div", "article"):
+            assert main_text(f"<body><{tag}><h1>A title</h1>{PARAS}{part}</{tag}></body>") == f"A title {PLAIN}", part
+            assert main_text(f"<body><{tag}><h1>A title</h1>{PARAS}</{tag}>{part}</body>") == f"A title {PLAIN}", part
+    assert main_text('<body><div id="cookie-notice">We use cookies, and say so; at length. Accept?</div></body>') == ""
+    assert main_text('<div class="sidebar">' * 30_000 + f"<h1>A title</h1>{PARAS}") == f"A title {PLAIN}"
