@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -17,8 +19,8 @@ from candor.session import stored
 SHINGLE_WORDS = 4
 HASH_SEED = 42
 MAX_DISTANCE = 4
-# Three segments of 22, 21 and 21 bits: at N fingerprints a table entry is shared by about N / 2^21 of them.
-SEGMENT_BITS = (22, 21, 21)
+FP_BITS = 64
+MOST_SEGMENTS = 3         # more are narrow, and real fingerprints crowd in narrow ones
 _SLICE = 1 << 16
 
 
@@ -54,12 +56,21 @@ def fingerprints(docs: DataFrame, text: str = "text") -> Column:
     return _fingerprints(docs[text])
 
 
-def _segments(max_distance: int) -> list[tuple[int, int, int]]:
+def widths_for(n: int, max_distance: int) -> tuple[int, ...]:
+    """Widths of the segments that cost least for ``n`` fingerprints: probes, and the entries that each finds by chance."""
+    def cost(widths):
+        balls = [(w, sum(comb(w, d) for d in range(r + 1)) / 2) for _, w, r in _segments(widths, max_distance) if r >= 0]
+        return sum(probes * (1 + n / 2 ** w) for w, probes in balls)
+
+    splits = [tuple(FP_BITS // k + (i < FP_BITS % k) for i in range(k)) for k in range(2, max(MOST_SEGMENTS, max_distance // 2) + 1)]
+    return min(splits, key=cost)
+
+
+def _segments(widths: tuple[int, ...], max_distance: int) -> list[tuple[int, int, int]]:
     """(shift, width, radius): if no segment lies within its radius, the whole distance is over the limit."""
-    n = len(SEGMENT_BITS)
-    base, rest = divmod(max_distance, n)
-    shifts = np.cumsum((0, *SEGMENT_BITS[:-1])).tolist()
-    return [(s, w, base if i <= rest else base - 1) for i, (s, w) in enumerate(zip(shifts, SEGMENT_BITS, strict=True))]
+    base, rest = divmod(max_distance, len(widths))
+    shifts = np.cumsum((0, *widths[:-1])).tolist()
+    return [(s, w, base if i <= rest else base - 1) for i, (s, w) in enumerate(zip(shifts, widths, strict=True))]
 
 
 def _part(fp: Column, shift: int, width: int) -> Column:
@@ -67,33 +78,29 @@ def _part(fp: Column, shift: int, width: int) -> Column:
 
 
 def _balls(fp: Column, at: int, shift: int, width: int, radius: int) -> Column:
-    """Table keys within ``radius`` of the segment that turn zeros into ones only.
-
-    Of two segments that differ in one bit, one has a zero there, so the pair is
-    met from that side alone.
-    """
+    """Table keys within ``radius`` of the segment and not below it: of two segments the lesser one meets the other."""
     own = _part(fp, shift, width)
-    keys = F.array(own)
-    if radius > 1:
-        raise ValueError("segments are too few for this distance")
-    if radius == 1:
-        flips = F.array(*[F.lit(1 << b).cast("long") for b in range(width)])
-        free = F.filter(flips, lambda m: own.bitwiseAND(m) == 0)
-        keys = F.concat(keys, F.transform(free, lambda m: own.bitwiseOR(m)))
-    return F.transform(keys, lambda k: k.bitwiseOR(F.lit(at << 32)))
+    masks = [sum(1 << b for b in bits) for d in range(radius + 1) for bits in combinations(range(width), d)]
+    ball = F.transform(F.from_json(F.lit(str(masks)), "array<bigint>"), lambda m: own.bitwiseXOR(m))
+    return F.transform(F.filter(ball, lambda k: k >= own), lambda k: k.bitwiseOR(F.lit(at << 32)))
 
 
-def linked_pairs(prints: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
+def linked_pairs(prints: DataFrame, max_distance: int = MAX_DISTANCE, widths: tuple[int, ...] | None = None) -> DataFrame:
     """``(a, b)`` representatives of all fingerprints at most ``max_distance`` bits apart.
 
     ``prints(fp, rep)`` holds each fingerprint once. Every fingerprint enters one
     table per segment; probes enumerate the Hamming ball of each segment. A pair
     is kept by the first segment that brings it together, after its whole
-    distance is verified, so it comes once.
+    distance is verified, so it comes once. ``widths`` of the segments, 32 bits
+    at most each, follow the number of fingerprints; every choice gives the same
+    pairs.
     """
     if max_distance < 0:
         raise ValueError("max_distance must not be negative")
-    parts = _segments(max_distance)
+    widths = widths or widths_for(prints.count(), max_distance)
+    if sum(widths) != FP_BITS or max(widths) > 32:
+        raise ValueError("segments of 1 to 32 bits must make up the fingerprint")
+    parts = _segments(widths, max_distance)
     fp = F.col("fp")
     table = prints.select(F.explode(F.array(
         *[_part(fp, s, w).bitwiseOR(F.lit(i << 32)) for i, (s, w, r) in enumerate(parts) if r >= 0])).alias("key"),

@@ -71,11 +71,20 @@ def test_links_up_to_four_bits_and_chains(spark):
     table = spark.createDataFrame(signed, "fp long, rep long")
     pairs = {(min(r.a, r.b), max(r.a, r.b)) for r in simhash.linked_pairs(table).collect()}
     assert pairs == {(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 4}
-    assert len(simhash.linked_pairs(table).collect()) == len(pairs)
+    for widths in ((22, 21, 21), (32, 32), (16, 16, 16, 16), (13, 13, 13, 13, 12)):
+        assert sorted((min(r.a, r.b), max(r.a, r.b)) for r in simhash.linked_pairs(table, widths=widths).collect()) == sorted(pairs)
+    for limit in (0, 1, 2, 7):
+        want = sorted((a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= limit)
+        assert sorted((min(r.a, r.b), max(r.a, r.b)) for r in simhash.linked_pairs(table, limit).collect()) == want
     found = {r.v: r.component for r in connected_components(stored(simhash.linked_pairs(table), "t"), "a", "b").collect()}
     assert found == {i: c for i, c in slow_components(prints, 4).items() if i in found}
 
 
+def test_segments_widen_with_the_table():
+    assert simhash.widths_for(0, 4) == simhash.widths_for(10 ** 7, 4) == (22, 21, 21)
+    assert simhash.widths_for(10 ** 9, 4) == (32, 32)
+
+
 def test_components(spark):
     shapes = [[(3, 1)], [(1, 1)], [(i, i + 1) for i in range(70)], [(0, i) for i in range(1, 50)], [(50, i) for i in range(50)],
               [(2, 3), (3, 2)], [(i, (i * 7 + 3) % 61) for i in range(61)], [(69 - i, 70 - i) for i in range(70)]]
