@@ -14,7 +14,8 @@ from candor.session import stored
 
 SHARDS = 24
 ROW_OVERHEAD = 8          # bytes of a row beside its text
-RANGES_PER_SHARD = 32     # fine ranges, so that no task orders more than a small part of a shard
+RANGES_PER_SHARD = 32     # fine ranges at least, so that no task orders more than a small part of a shard
+ROWS_PER_RANGE = 4_000_000  # more rows than that a range make more ranges
 SAMPLES_PER_RANGE = 12    # expected draws between two neighbouring splitters
 OVERFULL = 2.0            # a range is split again above this multiple of its share
 GROUP_SHARE = 1 / 32      # of a shard: copies of one text up to this stay together, larger groups are dealt out
@@ -62,39 +63,68 @@ def _range_of(splitters: list[tuple[int, int]]):
     return place
 
 
+def _giants(own: DataFrame, total_bytes: int, shards: int) -> tuple[int, float]:
+    """How many rows are larger than a shard's share of what such rows leave, and that share.
+
+    Of n shards fewer than n rows are, so the largest ``shards`` rows tell.
+    """
+    largest = [r["size"] for r in own.select("size").orderBy(F.desc("size")).limit(shards).collect()]
+    n, rest = 0, total_bytes
+    while n < len(largest) and largest[n] * (shards - n) > rest:
+        n, rest = n + 1, rest - largest[n]
+    return n, rest / (shards - n)
+
+
 def balanced_shards(docs: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFrame:
     """Every row in one of ``shards`` contiguous key ranges of near-equal bytes.
 
     ``doc_id, size, text_crc32, law, shard, slot, grown_shard``. The law is
     ``bytes``: shard sizes differ by about one document or one small group of
-    copies. The key is a hash of the text, so equal texts lie side by side and
+    copies. A row larger than a shard's share has a shard of its own, the last
+    ones by size, and the others share what is left. The key is a hash of the text, so equal texts lie side by side and
     share a shard, unless the group alone is over ``GROUP_SHARE`` of a shard;
     such groups are ordered by a hash of doc_id and dealt out like single rows.
     Slots run from 0 without gaps in key order. Null texts count as empty;
     repeated rows each get a slot; an empty table gives an empty table; other
     columns are not read. ``grown_shard`` is null under this law.
 
-    Splitters come from a size-weighted sample of about ``shards *
-    RANGES_PER_SHARD * SAMPLES_PER_RANGE`` keys, whatever the table's size. A
-    range above ``OVERFULL`` times its share is sampled and split again. The
-    driver holds splitters and one total a range, both bounded by parameters.
+    Splitters come from a size-weighted sample of about ``SAMPLES_PER_RANGE``
+    keys a range. Ranges are ``shards * RANGES_PER_SHARD``, or one for
+    ``ROWS_PER_RANGE`` rows if that is more. A range above ``OVERFULL`` times its
+    share is sampled and split again. The driver holds splitters and one total a
+    range.
     """
     if shards < 1:
         raise ValueError("shards must be positive")
     own = stored(sizes(docs), "sizes")
+    total = own.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first().bytes
+    n, share = _giants(own, total, shards)
+    if not n:
+        return _dealt_out(own, shards, seed)
+    # Fewer rows than shards, so one task may number them.
+    by_size = Window.orderBy("size", "key", "doc_id")
+    giants = own.where(F.col("size") > share).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"),
+        (F.row_number().over(by_size) - 1 + F.lit(shards - n)).cast("int").alias("shard"),
+        F.lit(0).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    return _dealt_out(stored(own.where(F.col("size") <= share), "sizes"), shards - n, seed).unionByName(giants)
+
+
+def _dealt_out(own: DataFrame, shards: int, seed: int) -> DataFrame:
+    """The shards of rows of which none is larger than a shard's share."""
     total = own.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.count("*").alias("rows")).first()
     out = own.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"))
     if not total.rows:
         return out.select("*", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"),
                           F.lit(None).cast("int").alias("grown_shard"))
-    n_ranges = shards * RANGES_PER_SHARD
+    n_ranges = max(shards * RANGES_PER_SHARD, -(-total.rows // ROWS_PER_RANGE))
     # A range is bounded in bytes and in rows: a row weighs its bytes plus the mean row.
     weight = F.col("size") + F.lit(total.bytes / total.rows)
     weight_all = 2.0 * total.bytes
     large = (own.groupBy("key").agg(F.sum("size").alias("group_bytes"), F.sum(weight).alias("group_weight"))
              .where((F.col("group_bytes") > F.lit(total.bytes / shards * GROUP_SHARE))
                     | (F.col("group_weight") > F.lit(weight_all / n_ranges))).select("key"))
-    # At most 2 * shards * RANGES_PER_SHARD groups are that large, so their keys are a bounded list.
+    # At most 2 * n_ranges groups are that large, so their keys are a bounded list.
     hot = sorted(r.key for r in large.collect())
     is_hot = F.col("key").isin(hot) if hot else F.lit(False)
     units = own.withColumn("sub", F.when(is_hot, F.xxhash64("doc_id", F.lit(seed))).otherwise(F.lit(0).cast("long")))

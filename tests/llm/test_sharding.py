@@ -54,6 +54,25 @@ def test_small_and_odd_tables(make, texts):
     assert balanced_shards(make([])).columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
 
 
+def test_texts_larger_than_a_shard_stand_alone(make):
+    for large in ([200_000], [200_000, 200_000, 30_000, 9_000]):
+        texts = [f"{i} " * 80 for i in range(550)] + ["z" * n for n in large]
+        rows, total = check(make(texts))
+        by = defaultdict(list)
+        for r in rows:
+            by[r.shard].append(r)
+        assert len(by) == SHARDS
+        alone = [n for n in sorted(large) if n > 20_000]
+        assert [by[s][0]["size"] - 8 for s in range(SHARDS - len(alone), SHARDS)] == alone
+        rest = [sum(r["size"] for r in by[s]) for s in range(SHARDS - len(alone))]
+        assert max(rest) - min(rest) <= 2 * max(r["size"] for r in rows if r["size"] < 20_000)
+
+
+def test_more_ranges_give_the_same_law(make, monkeypatch):
+    monkeypatch.setattr("candor.llm.sharding.ROWS_PER_RANGE", 4)
+    check(make([f"text {i % 300} " * (i % 7) for i in range(1000)]), 5)
+
+
 def test_repeated_and_nameless_rows(spark, make):
     df = make(["a", "bb", "ccc"])
     more = df.union(df).union(spark.createDataFrame([(None, "a", None, None, 1)] * 2, df.schema))
