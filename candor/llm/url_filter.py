@@ -21,6 +21,7 @@ LISTED_HOSTS = (
     "free-bets.example.com", "free-bets.example.net", "free-bets.example.org",
     "spam-farm.example.com", "spam-farm.example.net", "spam-farm.example.org",
 )
+Listed = DataFrame | list[str] | tuple[str, ...]  # a table has its keys in the column ``key``
 _WORD = 64
 _MIN_BITS = 64
 _MAX_LEVELS = 200
@@ -43,14 +44,24 @@ def _shape(key: str) -> tuple[int, int]:
     return host.count(".") + 1, len(slash + path)
 
 
-def candidates(host: Column, path: Column, listed: list[str]) -> Column:
+def shapes_of(listed: Listed) -> list[tuple[int, int]]:
+    """The (labels, path length) shapes of a list, most labels first: of a table, as many as its hosts have label counts."""
+    if isinstance(listed, DataFrame):
+        host, slash = F.substring_index("key", "/", 1), F.length("key") - F.length(F.substring_index("key", "/", 1))
+        own = listed.where("key IS NOT NULL").select(F.size(F.split(host, r"\.")).alias("n"), slash.alias("c")).distinct().collect()
+        return sorted(((r.n, r.c) for r in own), key=lambda s: (-s[0], -s[1]))
+    return sorted({_shape(k) for k in listed}, key=lambda s: (-s[0], -s[1]))
+
+
+def candidates(host: Column, path: Column, shapes: list[tuple[int, int]]) -> Column:
     """Every key of the url that could be listed: host suffixes on label borders with path prefixes.
 
-    Only the (labels, path length) shapes that the list has are formed, longest
-    first. A host or path shorter than a shape gives a shorter key, which is a
-    true suffix and prefix of the url all the same.
+    Only the shapes that the list has are formed. A host or path shorter than a
+    shape gives a shorter key, which is a true suffix and prefix of the url all
+    the same.
     """
-    shapes = sorted({_shape(k) for k in listed}, key=lambda s: (-s[0], -s[1]))
+    if not shapes:
+        return F.array().cast("array<string>")
     keys = F.array_distinct(F.array(*[
         F.concat(F.substring_index(host, ".", -labels), F.substring(path, 1, chars)) for labels, chars in shapes]))
     return F.when(host == "", F.array().cast("array<string>")).otherwise(keys)
@@ -70,15 +81,19 @@ class BloomCascade:
     follows the list, and the universe only by its logarithm.
     """
 
-    def __init__(self, universe: DataFrame, listed: list[str]):
-        """``universe(key)`` has every key that will ever be asked, repeats allowed."""
+    def __init__(self, universe: DataFrame, listed: Listed):
+        """``universe(key)`` has every key that will ever be asked, repeats allowed; listed keys outside it take no room."""
         spark = universe.sparkSession
         self.levels: list[tuple[int, int, str]] = []  # bits, probes, words as JSON
-        marks = universe.select("key", F.lit(False).alias("listed"))
-        if listed:
-            own = F.from_json(F.lit(json.dumps(sorted(set(listed)))), "array<string>")
-            marks = marks.unionByName(spark.range(1).select(F.explode(own).alias("key"), F.lit(True).alias("listed")))
-        keys = stored(marks.where("key IS NOT NULL").groupBy("key").agg(F.max("listed").alias("listed")), "universe")
+        marks = universe.select("key", F.lit(False).alias("listed"), F.lit(True).alias("asked"))
+        if isinstance(listed, DataFrame):
+            own = listed.select("key")
+        else:
+            all_keys = F.from_json(F.lit(json.dumps(sorted(set(listed)))), "array<string>")
+            own = spark.range(1).select(F.explode(all_keys).alias("key"))
+        marks = marks.unionByName(own.select("key", F.lit(True).alias("listed"), F.lit(False).alias("asked")))
+        keys = stored(marks.where("key IS NOT NULL").groupBy("key").agg(F.max("listed").alias("listed"), F.max("asked").alias("asked"))
+                      .where("asked").select("key", "listed"), "universe")
         counts = keys.agg(F.count_if("listed").alias("inside"), F.count_if(~F.col("listed")).alias("outside")).first()
         inside, outside, side = counts.inside, counts.outside, True
         rate = min(0.5, inside * math.sqrt(0.5) / max(outside, 1))
@@ -128,12 +143,14 @@ class BloomCascade:
 
 
 def url_verdicts(pages: DataFrame, rules: dict[str, tuple[str, ...]] = RULES,
-                 hosts: tuple[str, ...] = LISTED_HOSTS) -> DataFrame:
+                 hosts: Listed = LISTED_HOSTS) -> DataFrame:
     """``page_id, host, path, rule, verdict, listed`` for every row.
 
     A rule is ``host/path-prefix``; it fits its host and all subdomains, and the
     longest that fits wins (of equal length, the later in text order). Without a rule the method decides: a url whose host
-    or a parent of it is in ``hosts`` is blocked, any other is allowed. ``listed``
+    or a parent of it is in ``hosts`` is blocked, any other is allowed. ``hosts``
+    may be a table with the column ``key``, of any size: it meets the urls' keys
+    in one aggregate, and only hosts that occur among them take room. ``listed``
     tells of that membership in either case. A null url, or one without ``://``,
     has an empty host and path, fits nothing and is allowed. Repeated rows are
     judged each; other columns are not read; an empty table gives an empty table.
@@ -144,15 +161,12 @@ def url_verdicts(pages: DataFrame, rules: dict[str, tuple[str, ...]] = RULES,
     block, allow = list(rules.get("block", ())), list(rules.get("allow", ()))
     rows = pages.select("page_id", host_of(pages.url).alias("host"), path_of(pages.url).alias("path"))
     host, path = F.col("host"), F.col("path")
-    lists = [block + allow, list(hosts)]
-    universe = rows.select(F.explode(F.array_union(*[candidates(host, path, x) if x else F.array().cast("array<string>")
-                                                     for x in lists])).alias("key")).distinct()
-    universe = stored(universe, "url-keys")
-    blocked, allowed, bad = (BloomCascade(universe, x) for x in (block, allow, list(hosts)))
-    keys = candidates(host, path, block + allow) if block + allow else F.array().cast("array<string>")
+    keys = candidates(host, path, shapes_of(block + allow))
+    host_keys = candidates(host, F.lit(""), shapes_of(hosts))
+    universe = stored(rows.select(F.explode(F.array_union(keys, host_keys)).alias("key")).distinct(), "url-keys")
+    blocked, allowed, bad = (BloomCascade(universe, x) for x in (block, allow, hosts))
     fits = F.filter(keys, lambda k: blocked.contains(k) | allowed.contains(k))
     rule = F.array_max(F.transform(fits, lambda k: F.struct(F.length(k).alias("n"), k.alias("k"))))["k"]
-    host_keys = candidates(host, F.lit(""), list(hosts)) if hosts else F.array().cast("array<string>")
     judged = rows.withColumn("rule", rule).withColumn("listed", F.exists(host_keys, bad.contains))
     by_rule = F.when(blocked.contains(F.col("rule")), "block").when(F.col("rule").isNotNull(), "allow")
     return judged.select("page_id", "host", "path", "rule", F.coalesce(

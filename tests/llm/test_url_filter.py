@@ -3,12 +3,13 @@ from __future__ import annotations
 import random
 
 import pytest
+from case_tables import SF
 from pyspark.sql import functions as F
 
 from candor.llm.url_filter import LISTED_HOSTS, RULES, BloomCascade, url_verdicts
 
 
-def slow(url):
+def slow(url, hosts=LISTED_HOSTS):
     host, path = "", ""
     if url is not None and "://" in url:
         rest = url.split("://", 1)[1]
@@ -18,7 +19,7 @@ def slow(url):
         path = path[:min([path.find(c) for c in "?#" if c in path], default=len(path))]
     fits = [(len(r), r, v) for v, rs in RULES.items() for r in rs
             if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith(r[len(r.split("/")[0]):])]
-    listed = any(host == h or host.endswith("." + h) for h in LISTED_HOSTS)
+    listed = any(host == h or host.endswith("." + h) for h in hosts)
     rule, verdict = (max(fits)[1:]) if fits else (None, "block" if listed else "allow")
     return host, path, rule, verdict, listed
 
@@ -37,6 +38,18 @@ def test_verdicts_against_plain_rules(spark):
     assert got == sorted(((i, *slow(u)) for i, u in rows), key=str)
 
 
+def test_hosts_from_a_table(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    urls = [r.url for r in pages.select("url").collect()]
+    hosts = sorted({slow(u)[0] for u in urls} - {""})[::3] + ["com", "nowhere.example.com", "a.b.c.d.e.f"]
+    table = spark.createDataFrame([(h, 1) for h in hosts + hosts[:5]] + [(None, 1)], "key string, url int")
+    got = sorted((r.page_id, r.host, r.path, r.rule or "", r.verdict, r.listed) for r in url_verdicts(pages, hosts=table).collect())
+    want = [(r.page_id, *slow(r.url, hosts)) for r in pages.select("page_id", "url").collect()]
+    assert got == sorted((i, h, p, r or "", v, x) for i, h, p, r, v, x in want)
+    assert {r[5] for r in got} == {True, False}
+    assert not any(r.listed for r in url_verdicts(pages, hosts=table.limit(0)).collect())
+
+
 def test_no_rows_no_rules(spark):
     df = spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string")
     assert url_verdicts(df.limit(0)).collect() == []
