@@ -513,7 +513,7 @@ def user_clusters(i):
     return communities.user_clusters(communities.louvain_communities(i.graph()))
 
 
-CLIQUE = 40  # so large that joining two neighbours never pays, for up to some 60,000 customers
+CLIQUE = 40
 
 
 @query("planted_clusters", [], f"""
@@ -522,9 +522,11 @@ CLIQUE = 40  # so large that joining two neighbours never pays, for up to some 6
 def planted_clusters(i):
     """Customers in groups by id, all linked within a group, and groups linked in a ring: the best labelling is the groups.
 
-    The links between groups join everything, so plain components would not do.
+    The links between groups join everything, so plain components would not do. They weigh so little that joining
+    two groups of any size from 2 to CLIQUE never pays, however many groups there are: with all weights 1 it would
+    from some CLIQUE * CLIQUE groups on.
     """
-    c = views.customers(i.spark, i.sf).select("user_id", F.expr(f"user_id div {CLIQUE}").alias("team"))
+    c = views.customers(i.spark, i.sf).distinct().select("user_id", F.expr(f"user_id div {CLIQUE}").alias("team"))
     other = c.select(F.col("user_id").alias("user_b"), "team")
     links = (c.select(F.col("user_id").alias("user_a"), "team").join(other, "team")
              .filter("user_a < user_b").select("user_a", "user_b"))
@@ -533,7 +535,9 @@ def planted_clusters(i):
     around = ends.agg(F.max_by("last", "team").alias("user_b"), F.min_by("first", "team").alias("user_a"),
                       F.count(F.lit(1)).alias("n")).where("n >= 3").select("user_a", "user_b")
     ring = ends.join(after, "team").select(F.col("last").alias("user_a"), F.col("next").alias("user_b")).unionByName(around)
-    return communities.user_clusters(communities.louvain_communities(links.unionByName(ring)))
+    light = 1.0 / (CLIQUE * CLIQUE * max(1, ends.count()))
+    weighted = links.withColumn("weight", F.lit(1.0)).unionByName(ring.withColumn("weight", F.lit(light)))
+    return communities.user_clusters(communities.louvain_communities(weighted, "weight"))
 
 
 @query("user_cluster_invariants", ["pairs"], """
