@@ -138,7 +138,7 @@ def src_json_roundtrip(i):
     raw = views.raw_reviews(i.spark, i.sf).withColumns({c: F.col(c).cast("string") for c in ("user_id", "business_id", "stars")})
     raw = raw.withColumn("useful", F.length("text"))
     broken = i.businesses().select(F.concat(F.lit('{"name": "'), "name").alias("value"))
-    raw.select(F.to_json(F.struct("*")).alias("value")).union(broken).write.text(path)
+    raw.select(F.to_json(F.struct("*")).alias("value")).union(broken).write.text(path, compression="gzip")
     df = tables.raw_table(i.spark, path, RAW_SCHEMAS["review"])
     return df.filter(F.col(tables.CORRUPT).isNull()).drop(tables.CORRUPT).withColumn("useful", F.col("useful").cast("long"))
 
