@@ -64,69 +64,89 @@ def louvain_communities(edges: DataFrame, weight: str | None = None, seed: int =
 def _settle(arcs: DataFrame, nodes: DataFrame, total: float, seed: int, tolerance: float):
     """Move vertices of one level until nothing gains. Returns (v, k, inner, c) and whether any moved."""
     spark = arcs.sparkSession
-    slots = [scratch_path(spark, f"labels{i}") for i in range(3)]
-    # Degrees do not change within a level, so the arcs carry that of their vertex.
-    arcs = stored(arcs.join(nodes.select("v", "k"), "v"), "level-arcs")
-    current, current_slot = nodes.withColumn("c", F.col("v")), None
-    best, best_slot, best_q, stale = None, None, float("-inf"), 0
-    for turn in count():
-        slot = next(s for s in slots if s not in (current_slot, best_slot))
-        proposal, q, wishes = _judged(_propose(arcs, current, total, seed, turn), total, slot)
-        if q < best_q - 1e-12:
-            # The last moves did harm: go back and try with another gate.
-            current, current_slot, stale = best, best_slot, stale + 1
-            if stale >= _PATIENCE:
-                break
-            continue
-        stale = 0 if q > best_q + tolerance else stale + 1
-        best, best_slot, best_q = proposal.select("v", "k", "inner", F.col("c_old").alias("c")), slot, max(q, best_q)
-        if not wishes or stale >= _PATIENCE:
-            break
-        current, current_slot = proposal.select("v", "k", "inner", "c"), slot
+    slots = [scratch_path(spark, f"labels{i}") for i in range(2)]
+    around = _neighbourhoods(arcs, nodes)
+    labels = nodes.select("v", "k", F.col("v").alias("c"))
+    best, best_q, stale, turn = None, float("-inf"), 0, 0
+    try:
+        for written in count():
+            found, q, wishes = _judged(_options(around, labels, total), total, slots[written % 2])
+            if q < best_q - 1e-12:
+                # The last moves did harm: go back and try with another gate. What the
+                # vertices wish there is known, so the turn that would ask again is only counted.
+                slots.reverse()
+                turn, stale = turn + 1, stale + 2
+                if stale >= _PATIENCE:
+                    break
+            else:
+                stale = 0 if q > best_q + tolerance else stale + 1
+                best, best_q = found, max(q, best_q)
+                if not wishes or stale >= _PATIENCE:
+                    break
+            labels = best.select("v", "k",
+                                 F.when(_gate(seed, turn), F.col("goal")).otherwise(F.col("c")).alias("c"))
+            turn += 1
+    finally:
+        around.unpersist()
+    best = best.select("v", "k", "inner", "c")
     return best, not best.filter("c <> v").isEmpty()
 
 
-# A vertex's own community always competes, also without a neighbour in it: its
-# own row, of no weight, carries what is known of the vertex through the sum of
-# links. Ties go to the smaller label. Links are summed per (vertex, community)
-# and options per vertex before they are shuffled; the only join after the sum is
-# with the stored community totals, whose sides are both plain shuffles, so that
-# a community with a large share of the links is split by adaptive execution.
-_ROUND = """
-    WITH links AS (
-        SELECT v, c, sum(w) AS link, max(k) AS k, max(inner) AS inner
-        FROM (SELECT a.v, n.c, a.w, a.k, CAST(NULL AS DOUBLE) AS inner FROM {arcs} a JOIN {nodes} n ON a.u = n.v
-              UNION ALL SELECT v, c, 0D, k, inner FROM {nodes})
-        GROUP BY v, c),
-    options AS (
-        SELECT l.v, l.k, l.inner, l.c, l.link, t.tot, l.inner IS NOT NULL AS home,
-               l.link - l.k * (t.tot - if(l.inner IS NOT NULL, l.k, 0D)) / :total AS score
-        FROM links l JOIN {totals} t ON l.c = t.c),
-    chosen AS (
-        SELECT v, max(k) AS k, max(inner) AS inner, max(if(home, c, NULL)) AS c_old,
-               max(if(home, score, NULL)) AS stay, max(if(home, link, NULL)) AS own_link,
-               max(if(home, tot, NULL)) AS own_tot, min(struct(-score AS loss, c AS c)) AS top
-        FROM options GROUP BY v)
-    SELECT v, k, inner, c_old, own_link, own_tot, -top.loss > stay + 1e-12D AS wishes,
-           if(-top.loss > stay + 1e-12D AND pmod(xxhash64(v, :seed, :turn), 4) <> 0, top.c, c_old) AS c
-    FROM chosen"""
-
-
-def _propose(arcs: DataFrame, nodes: DataFrame, total: float, seed: int, turn: int) -> DataFrame:
-    """Best community per vertex given the labels of the round's start."""
-    totals = stored(nodes.groupBy("c").agg(F.sum("k").alias("tot")), "totals")
-    return arcs.sparkSession.sql(_ROUND, {"total": total, "seed": seed, "turn": turn},
-                                 arcs=arcs, nodes=nodes, totals=totals)
-
-
-def _judged(proposal: DataFrame, total: float, path: str) -> tuple[DataFrame, float, int]:
+def _gate(seed: int, turn: int):
+    return F.pmod(F.xxhash64("v", F.lit(seed), F.lit(turn)), F.lit(4)) != 0
+
+
+# Rows of a neighbourhood table that one task reads in a round.
+_TASK_ARCS = 100_000
+
+
+def _neighbourhoods(arcs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The arcs of a level, dealt out by their vertex and kept by the executors until released.
+
+    Neither arcs nor degrees change within a level, so they are dealt out once; what
+    an executor loses is made again from the stored table. While Spark can broadcast
+    the labels, no round after the first shuffles an arc. Arcs carry the degree of
+    their vertex. An arc of no weight from every vertex to itself, the only one with
+    an inner weight, lets the vertex's own community always compete, also without a
+    neighbour in it.
+    """
+    both = arcs.join(nodes.select("v", "k"), "v").select("v", "u", "w", "k", F.lit(None).cast("double").alias("inner"))
+    own = nodes.select("v", F.col("v").alias("u"), F.lit(0.0).alias("w"), "k", "inner")
+    table = stored(both.unionByName(own), "level-arcs")
+    return table.repartition(1 + table.count() // _TASK_ARCS, "v").persist()
+
+
+def _options(around: DataFrame, labels: DataFrame, total: float) -> DataFrame:
+    """Per vertex the best community, ties to the smaller label, given the labels of the round's start.
+
+    One job. Links are summed per (vertex, community); where tables are too large
+    to broadcast, links and options are summed before they are shuffled, and
+    adaptive execution splits a community with a large share of the links.
+    """
+    links = (around.join(labels.select(F.col("v").alias("u"), "c"), "u").groupBy("v", "c")
+             .agg(F.sum("w").alias("link"), F.max("k").alias("k"), F.max("inner").alias("inner")))
+    totals = labels.groupBy("c").agg(F.sum("k").alias("tot"))
+    home = F.col("inner").isNotNull()
+    others = F.col("tot") - F.when(home, F.col("k")).otherwise(0.0)
+    options = links.join(totals, "c").withColumn("score", F.col("link") - F.col("k") * others / total)
+    own = {"c": "c", "stay": "score", "own_link": "link", "own_tot": "tot"}
+    chosen = options.groupBy("v").agg(
+        F.max("k").alias("k"), F.max("inner").alias("inner"),
+        *[F.max(F.when(home, F.col(of))).alias(name) for name, of in own.items()],
+        F.min(F.struct((-F.col("score")).alias("loss"), "c")).alias("top"))
+    wishes = -F.col("top.loss") > F.col("stay") + 1e-12
+    return chosen.select("v", "k", "inner", "c", "own_link", "own_tot", wishes.alias("wishes"),
+                         F.when(wishes, F.col("top.c")).otherwise(F.col("c")).alias("goal"))
+
+
+def _judged(options: DataFrame, total: float, path: str) -> tuple[DataFrame, float, int]:
     """Write a round. Also the modularity of the labels it started from, and how many vertices would gain.
 
     Both are totals over the written rows, observed while they are written: the
     squares of the community totals are k times the own total, vertex by vertex.
     """
     seen = Observation()
-    written = stored(proposal.observe(
+    written = stored(options.observe(
         seen,
         (F.sum(F.col("own_link") + F.col("inner")) / total
          - F.sum(F.col("k") * F.col("own_tot")) / (total * total)).alias("q"),
